@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 def report_date(text: Column) -> Column:
     """DT-1: ``DD.MM.YY`` with years 69..99 in the 1900s; null if it is no date."""
-    shaped = F.when(text.rlike(r"\A[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{2}\z"), text)
-    day = F.try_to_date(shaped, "d.M.yy")
-    return F.when(F.year(day) >= 2069, F.add_months(day, -1200)).otherwise(day)
+    short_year = F.right(text, F.lit(2))
+    century = F.when(short_year >= "69", "19").otherwise("20")
+    long_form = F.concat(F.substring_index(text, ".", 2), F.lit("."), century, short_year)
+    shaped = text.rlike(r"\A[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{2}\z")
+    return F.try_to_date(F.when(shaped, long_form), "d.M.yyyy")
 
 
 def iso_weekday(day: Column) -> Column:

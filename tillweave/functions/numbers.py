@@ -6,17 +6,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType, DoubleType, FloatType, StringType
 
-from tillweave.functions.text import strip
+from tillweave.functions.text import BLANKS
 from tillweave.vocabulary import MEASURE
 
 # The cast alone would take texts like "1d" or "NaN" as numbers.
-_NUMBER = r"\A[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
+_NUMBER = r"\A[{blanks}]*[+-]?([0-9]+[{point}]?[0-9]*|[{point}][0-9]+)([eE][+-]?[0-9]+)?[{blanks}]*\z"
 
 
 def text_to_number(text: Column, *, decimal_comma: bool = True) -> Column:
     """NUM-1 for text: bad numbers become null."""
-    plain = strip(F.translate(text, ",", ".") if decimal_comma else text)
-    return F.when(plain.rlike(_NUMBER), plain.try_cast("double"))
+    shaped = text.rlike(_NUMBER.format(blanks=BLANKS, point=".," if decimal_comma else "."))
+    # Blanks have no counterpart in the replacement, so they are dropped.
+    plain = F.translate(text, "," + BLANKS, ".")
+    return F.when(shaped, plain.try_cast("double"))
 
 
 def to_number(column: Column, kind: DataType, *, decimal_comma: bool = True) -> Column:

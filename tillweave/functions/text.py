@@ -1,7 +1,10 @@
 """Text cleaning as Column expressions.
 
-Whitespace and word characters are meant in the Unicode sense. Java's ``\\s`` lacks the four separator
-controls U+001C..U+001F that count as blank in the reports, so the class names them.
+Blanks and word characters are meant in the Unicode sense, so the blanks are spelled out here and made plain
+spaces by ``translate`` before anything else looks for them.
+
+A CASE that tests a text and returns it evaluates the text twice. Plans that apply a chain of these functions therefore
+put the links into columns of their own (see ``staging.clean_product_cells``).
 """
 
 from __future__ import annotations
@@ -11,7 +14,14 @@ from pyspark.sql import functions as F
 
 from tillweave.vocabulary import MISSING_TEXT, NAME_SEPARATOR, SYSTEM_GROUP
 
-_BLANK = r"[\s\x1C-\x1F]"
+# The characters that count as blank.
+BLANKS = (
+    "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+_TO_SPACES = (BLANKS.replace(" ", ""), " " * (len(BLANKS) - 1))
+_HEATED = ("C_", "C-", "c_", "c-")
 
 
 def quoted(name: str) -> Column:
@@ -24,12 +34,12 @@ def null_if_empty(text: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(?U)\A{_BLANK}+|{_BLANK}+\z", "")
+    return F.trim(text, F.lit(BLANKS))
 
 
 def squeeze(text: Column) -> Column:
     """Strip, and make every run of blanks one space."""
-    return F.trim(F.regexp_replace(text, rf"(?U){_BLANK}+", " "))
+    return F.trim(F.regexp_replace(F.translate(text, *_TO_SPACES), " {2,}", " "))
 
 
 def tidy(text: Column) -> Column:
@@ -37,35 +47,45 @@ def tidy(text: Column) -> Column:
     return null_if_empty(squeeze(text))
 
 
-def _without_placeholders(text: Column) -> Column:
+def without_placeholders(text: Column) -> Column:
     return F.when(~text.isin(*MISSING_TEXT), text)
 
 
 def clean_basic(text: Column) -> Column:
     """STR-1."""
-    return _without_placeholders(squeeze(text))
+    return without_placeholders(squeeze(text))
+
+
+def has_heated_mark(squeezed: Column) -> Column:
+    return F.coalesce(F.substring(squeezed, 1, 2).isin(*_HEATED), F.lit(False))
+
+
+def without_heated_mark(squeezed: Column) -> Column:
+    """Rest of a squeezed code after one heated mark; null for a placeholder."""
+    return (
+        F.when(squeezed.isin(*MISSING_TEXT), None)
+        .when(has_heated_mark(squeezed), F.ltrim(F.substring(squeezed, 3, 2**31 - 1)))
+        .otherwise(squeezed)
+    )
 
 
 def is_heated(code: Column) -> Column:
     """STR-2: the code is marked as a heated sale."""
-    return F.coalesce(strip(code).rlike(r"\A[Cc][_-]"), F.lit(False))
+    return has_heated_mark(strip(code))
 
 
 def clean_code(code: Column) -> Column:
     """STR-3: cleaned code without one heated mark."""
-    unmarked = F.regexp_replace(clean_basic(code), r"\A[Cc][_-]", "")
-    return _without_placeholders(squeeze(unmarked))
+    return without_placeholders(without_heated_mark(squeeze(code)))
 
 
-def clean_name(name: Column, cleaned_code: Column) -> Column:
-    """STR-4: cleaned name, or the cleaned code where there is none."""
-    return F.coalesce(clean_basic(name), cleaned_code)
+def recipe_or_null(stripped: Column) -> Column:
+    return F.when((stripped != "") & (F.upper(stripped) != "NA"), stripped)
 
 
 def clean_recipe(recipe: Column) -> Column:
     """STR-5."""
-    text = strip(recipe)
-    return F.when((text != "") & (F.upper(text) != "NA"), text)
+    return recipe_or_null(strip(recipe))
 
 
 def work_key(recipe: Column, report_date: Column, code: Column) -> Column:
@@ -75,14 +95,25 @@ def work_key(recipe: Column, report_date: Column, code: Column) -> Column:
     return F.when(recipe.isNotNull(), F.concat(F.lit("RECIPE_"), recipe)).otherwise(by_day)
 
 
+def category_of_code(code: Column) -> Column:
+    """``CAT<digits>`` at the start of a code, else empty."""
+    return F.regexp_extract(F.upper(strip(code)), r"\A(?:C[_-])?(CAT\p{Nd}+)", 1)
+
+
+def words_of_code(code: Column) -> Column:
+    """The words of a code without its ``-X-…-…`` part and digits, joined by underscores."""
+    rest = F.regexp_replace(F.upper(strip(code)), r"-X-[^-]+-[^-]+", "")
+    rest = F.regexp_replace(F.translate(rest, "-", " "), r"\p{Nd}+", "")
+    return F.translate(squeeze(rest), " ", "_")
+
+
+def group_from(category: Column, words: Column) -> Column:
+    return F.when(category != "", category).otherwise(null_if_empty(words))
+
+
 def group_of_code(code: Column) -> Column:
     """STR-7: product group read from a cleaned code."""
-    text = F.upper(strip(code))
-    category = F.regexp_extract(text, r"\A(?:C[_-])?(CAT\p{Nd}+)", 1)
-    rest = F.regexp_replace(text, r"-X-[^-]+-[^-]+", "")
-    rest = F.regexp_replace(F.translate(rest, "-", " "), r"\p{Nd}+", "")
-    rest = F.translate(squeeze(rest), " ", "_")
-    return F.when(category != "", category).otherwise(null_if_empty(rest))
+    return group_from(category_of_code(code), words_of_code(code))
 
 
 def is_system(group: Column) -> Column:

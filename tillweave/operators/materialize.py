@@ -29,8 +29,22 @@ def scratch_folder(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder."""
+    return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and return the written table."""
-    path = f"{scratch_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Even out a scan that has fewer splits than the session has cores, as for one small unsplittable file.
+
+    A scan with enough splits is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

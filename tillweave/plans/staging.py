@@ -7,6 +7,7 @@ the distinct product cells per file, so product texts are cleaned once per disti
 from __future__ import annotations
 
 import re
+from decimal import Decimal
 from functools import reduce
 from operator import or_
 
@@ -154,24 +155,36 @@ def with_product_cells(df: DataFrame) -> DataFrame:
 
 def clean_product_cells(df: DataFrame) -> DataFrame:
     """STR-1..7: everything that follows from one row's own product cells."""
-    df = df.withColumns(
+    col = F.col
+    steps = [
         {
-            "is_heated": text.is_heated(F.col("product_code_raw")),
-            "product_code_clean": text.clean_code(F.col("product_code_raw")),
-            "recipe_number_clean": text.clean_recipe(F.col("recipe_number_raw")),
-        }
-    )
-    code, recipe = F.col("product_code_clean"), F.col("recipe_number_clean")
-    has_recipe = recipe.isNotNull()
-    return df.withColumns(
+            "_code": text.squeeze(col("product_code_raw")),
+            "_name": text.squeeze(col("product_name_raw")),
+            "_recipe": text.strip(col("recipe_number_raw")),
+        },
         {
-            "product_name_clean": text.clean_name(F.col("product_name_raw"), code),
-            "has_recipe_number": has_recipe,
-            "product_identity_basis": F.when(has_recipe, "RECIPE_NUMBER").otherwise("DATE_CODE"),
-            "product_work_key": text.work_key(recipe, F.col("report_date"), code),
-            "product_group_fallback": text.group_of_code(code),
-        }
-    )
+            "is_heated": text.has_heated_mark(col("_code")),
+            "_unmarked": text.without_heated_mark(col("_code")),
+            "recipe_number_clean": text.recipe_or_null(col("_recipe")),
+        },
+        {"product_code_clean": text.without_placeholders(col("_unmarked"))},
+        {
+            "product_name_clean": F.coalesce(text.without_placeholders(col("_name")), "product_code_clean"),
+            "has_recipe_number": col("recipe_number_clean").isNotNull(),
+            "product_work_key": text.work_key(
+                col("recipe_number_clean"), col("report_date"), col("product_code_clean")
+            ),
+            "_category": text.category_of_code(col("product_code_clean")),
+            "_words": text.words_of_code(col("product_code_clean")),
+        },
+        {
+            "product_identity_basis": F.when(col("has_recipe_number"), "RECIPE_NUMBER").otherwise("DATE_CODE"),
+            "product_group_fallback": text.group_from(col("_category"), col("_words")),
+        },
+    ]
+    for step in steps:
+        df = df.withColumns(step)
+    return df.drop(*(name for step in steps for name in step if name.startswith("_")))
 
 
 def prepare_rows(
@@ -197,7 +210,7 @@ def product_observations(rows: DataFrame) -> DataFrame:
     holds a large part of all rows reaches the shuffle as one row per task.
     """
     # Sheet and row in one decimal: the minimum of a fixed-width number needs no sort.
-    place = F.col("_sheet_ord").cast("decimal(10,0)") * F.lit(10**19).cast("decimal(20,0)") + F.col(
+    place = F.col("_sheet_ord").cast("decimal(10,0)") * F.lit(Decimal(10**19)) + F.col(
         "_row_ord"
     ).cast("decimal(19,0)")
     cells = rows.groupBy(
