@@ -161,7 +161,7 @@ dimp AS (
          CASE WHEN recipe IS NOT NULL THEN 'INSIDE' WHEN keyword THEN 'OUTSIDE' WHEN pattern AND in_two THEN 'PATTERN'
               WHEN listed THEN 'LISTED' WHEN in_economy THEN 'GROUPED' ELSE 'Pozostałe' END AS source,
          all_names.joined AS product_alternative_names
-  FROM prod JOIN types USING (bk) JOIN all_names USING (bk)
+  FROM prod LEFT JOIN types USING (bk) LEFT JOIN all_names USING (bk)
 )"""
 
 _SPOTS = """
