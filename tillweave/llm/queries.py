@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillweave.llm.decontamination import decontaminate
+from tillweave.llm.repeats import remove_repeats
 from tillweave.llm.token_counts import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,3 +51,10 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
         "spans",
         "items",
     )
+
+
+@_query
+def op9_repeated_spans(spark: SparkSession, sf: str) -> DataFrame:
+    """What is left of every document without the 35-word windows that occur anywhere else."""
+    kept = remove_repeats(table(spark, sf, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
