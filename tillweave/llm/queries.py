@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillweave.llm.decontamination import decontaminate
+from tillweave.llm.near_copies import near_copies
 from tillweave.llm.repeats import remove_repeats
 from tillweave.llm.token_counts import count_tokens
 
@@ -28,6 +29,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@_query
+def op1_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents whose sets of 5-word shingles are similar to 0.8 or more: classes and numbers of links."""
+    return near_copies(table(spark, sf, "documents")).drop("row")
+
+
 @_query
 def op2_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Tokens of every document, and whether they exceed a context of 2048."""
