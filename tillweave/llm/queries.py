@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tillweave.llm.decontamination import decontaminate
 from tillweave.llm.near_copies import near_copies
+from tillweave.llm.packing import pack
 from tillweave.llm.repeats import remove_repeats
 from tillweave.llm.token_counts import count_tokens
 
@@ -60,6 +61,12 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@_query
+def op5_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """Every piece of every document, and its place in a sequence of 2048 tokens."""
+    return pack(table(spark, sf, "documents"), vocabulary(WORDS_49K))
+
+
 @_query
 def op9_repeated_spans(spark: SparkSession, sf: str) -> DataFrame:
     """What is left of every document without the 35-word windows that occur anywhere else."""
