@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from tillweave.llm.decontamination import decontaminate
 from tillweave.llm.near_copies import near_copies
 from tillweave.llm.packing import pack
+from tillweave.llm.planes import read_ids, write_ids
 from tillweave.llm.repeats import remove_repeats
 from tillweave.llm.token_counts import count_tokens
+from tillweave.operators.materialize import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -67,6 +69,14 @@ def op5_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack(table(spark, sf, "documents"), vocabulary(WORDS_49K))
 
 
+@_query
+def op7_plane_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document as read back from files of byte planes."""
+    folder = scratch_path(spark, "op7")
+    write_ids(table(spark, sf, "documents"), folder, vocabulary(WORDS_49K))
+    return read_ids(spark, folder, "long", ids=False)
+
+
 @_query
 def op9_repeated_spans(spark: SparkSession, sf: str) -> DataFrame:
     """What is left of every document without the 35-word windows that occur anywhere else."""
