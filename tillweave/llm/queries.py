@@ -12,6 +12,7 @@ from tillweave.llm.decontamination import decontaminate
 from tillweave.llm.near_copies import near_copies
 from tillweave.llm.packing import pack
 from tillweave.llm.planes import read_ids, write_ids
+from tillweave.llm.quality import judge
 from tillweave.llm.repeats import remove_repeats
 from tillweave.llm.token_counts import count_tokens
 from tillweave.operators.materialize import scratch_path
@@ -69,6 +70,13 @@ def op5_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack(table(spark, sf, "documents"), vocabulary(WORDS_49K))
 
 
+@_query
+def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts of every document, and whether it is kept after its own rules and those on lines its source repeats."""
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return judge(table(spark, sf, "documents")).select("doc_id", *names, "n_common_words")
+
+
 @_query
 def op7_plane_files(spark: SparkSession, sf: str) -> DataFrame:
     """Every document as read back from files of byte planes."""
