@@ -15,6 +15,7 @@ from tillweave.llm.planes import read_ids, write_ids
 from tillweave.llm.quality import judge
 from tillweave.llm.repeats import remove_repeats
 from tillweave.llm.token_counts import count_tokens
+from tillweave.llm.toxicity import fit, score
 from tillweave.operators.materialize import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +65,18 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@_query
+def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Toxicity of every document, learned from the labelled ones that are not held out."""
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    docs = table(spark, sf, "documents")
+    model = fit(docs, table(spark, sf, "labels"), usable=fold != 0)
+    scored = score(docs, model)
+    return scored.select(
+        "doc_id", (fold == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 @_query
 def op5_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     """Every piece of every document, and its place in a sequence of 2048 tokens."""
