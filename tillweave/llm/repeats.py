@@ -19,11 +19,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillweave.llm.shared_keys import SCHEMA, keyed, repeated_places
-from tillweave.llm.textwords import Words, pieces, read_words, sums_per_text
+from tillweave.llm.textwords import PIECE_BYTES, Words, flat, pieces, read_words, sums_per_text
 
 WINDOW = 35
 PERIOD = 21
@@ -57,8 +58,26 @@ def spread_spans(lists: pa.Array, words: Words, before: int, after: int) -> np.n
     return np.cumsum(change[:-1]) > 0
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts compressed, for their shuffle."""
+    compressor = zstandard.ZstdCompressor(level=1)
     for piece in pieces(batches, "text"):
+        data, offsets = flat(piece.column(2))
+        body, at = data.tobytes(), offsets.tolist()
+        texts = [compressor.compress(body[low:high]) for low, high in zip(at, at[1:], strict=False)]
+        yield pa.RecordBatch.from_arrays([*piece.columns[:2], pa.array(texts, pa.binary())], ["row", "key", "text"])
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    decompressor = zstandard.ZstdDecompressor()
+    for part in pieces(batches, "text", PIECE_BYTES // 4):
+        texts = pa.array([decompressor.decompress(x) for x in part.column(2).to_pylist()], pa.large_binary())
+        whole = pa.RecordBatch.from_arrays([*part.columns[:2], texts, part.column(3)], ["row", "key", "text", "places"])
+        yield from pieces([whole], "text")
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for piece in _unpacked(batches):
         words = read_words(piece.column(2))
         near = spread_spans(piece.column(3), words, PERIOD - 1, 0)
         at = np.flatnonzero(near & words.window_fits(WINDOW))
@@ -66,7 +85,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for piece in pieces(batches, "text"):
+    for piece in _unpacked(batches):
         words = read_words(piece.column(2))
         gone = spread_spans(piece.column(3), words, 0, WINDOW - 1)
         texts = []
@@ -98,9 +117,11 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     kind = rows.schema["key"].dataType.simpleString()
     anchors = repeated_places(rows.select("row", "text").mapInArrow(_anchors, SCHEMA))
     # Texts are shuffled once, by row: both joins read the same exchange. The lists are the small side.
-    near = rows.join(_listed(anchors).hint("shuffle_hash"), "row").select("row", "key", "text", "places")
+    # (The inner join would add the condition, which never fails, to its own exchange alone.)
+    packed = rows.mapInArrow(_packed, f"row long, key {kind}, text binary").where("row is not null")
+    near = packed.join(_listed(anchors).hint("shuffle_hash"), "row").select("row", "key", "text", "places")
     windows = repeated_places(near.mapInArrow(_windows, SCHEMA))
-    marked = rows.join(_listed(windows).hint("shuffle_hash"), "row", "left").select(
+    marked = packed.join(_listed(windows).hint("shuffle_hash"), "row", "left").select(
         "row", "key", "text", F.coalesce("places", F.expr("cast(array() as array<int>)")).alias("places")
     )
     out = marked.mapInArrow(_kept, f"key {kind}, n_words long, n_removed long, kept string")
