@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from public_tokenizers import path as vocabulary
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillweave.llm.decontamination import decontaminate
@@ -16,6 +16,7 @@ from tillweave.llm.quality import judge
 from tillweave.llm.repeats import remove_repeats
 from tillweave.llm.token_counts import count_tokens
 from tillweave.llm.toxicity import fit, score
+from tillweave.llm.url_filters import host_of, judge_urls, segments_of
 from tillweave.operators.materialize import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +66,79 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _number(text: str, at: int) -> Column:
+    """A number below 2**24 from a text's MD5, the same in both engines."""
+    return F.conv(F.substring(F.md5(text), at, 6), 16, 10).cast("long")
+
+
+def url_list(pages: DataFrame) -> DataFrame:
+    """Dated entries (kind, pattern, action, day) that half of the pages, chosen by their URL, bring to the list."""
+    host, path = host_of(F.col("url")), segments_of(F.col("url"))
+    kind = F.element_at(F.array(F.lit("domain"), F.lit("host"), F.lit("prefix")), (_number("url", 7) % 3 + 1).cast("int"))
+    chosen = pages.where(_number("url", 1) % 2 == 0).select(kind.alias("kind"), host.alias("host"), path.alias("path"), "url")
+    prefix = F.concat_ws("/", F.concat(F.array("host"), F.slice("path", 1, 1)))
+    return chosen.where((F.col("kind") != "prefix") | (F.size("path") > 0)).select(
+        "kind",
+        F.when(F.col("kind") == "prefix", prefix).otherwise(F.col("host")).alias("pattern"),
+        F.element_at(
+            F.array(F.lit("block"), F.lit("allow"), F.lit("remove")), (_number("url", 13) % 3 + 1).cast("int")
+        ).alias("action"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (_number("url", 19) % 365).cast("int")).alias("day"),
+    )
+
+
+@_query
+def op3_url_filters(spark: SparkSession, sf: str) -> DataFrame:
+    """Every page judged by the list entries in force on the day of its capture.
+
+    The tables have no capture times and no lists: both are derived from the pages, whole tables, by hashes.
+    """
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") * 37 % 365).cast("int"))
+    return judge_urls(pages.withColumn("day", day), url_list(pages))
+
+
+ORACLE["op3_url_filters"] = """
+WITH n AS (
+  SELECT page_id, url, DATE '2024-01-01' + CAST(page_id * 37 % 365 AS INTEGER) AS day, md5(url) AS m,
+         nullif(rtrim(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1), '.'), '') AS host,
+         list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1), '/'), lambda x: x <> '')
+           AS path
+  FROM pages
+),
+numbers AS (
+  SELECT *, CAST('0x' || substr(m, 1, 6) AS BIGINT) AS a, CAST('0x' || substr(m, 7, 6) AS BIGINT) AS b,
+         CAST('0x' || substr(m, 13, 6) AS BIGINT) AS c, CAST('0x' || substr(m, 19, 6) AS BIGINT) AS d
+  FROM n
+),
+entries AS (
+  SELECT CASE b % 3 WHEN 0 THEN 'domain' WHEN 1 THEN 'host' ELSE 'prefix' END AS kind,
+         CASE WHEN b % 3 = 2 THEN host || '/' || path[1] ELSE host END AS pattern,
+         2 - c % 3 AS rank, DATE '2024-01-01' + CAST(d % 365 AS INTEGER) AS since
+  FROM numbers WHERE a % 2 = 0 AND (b % 3 < 2 OR len(path) > 0)
+),
+daily AS (
+  SELECT kind, pattern, since, max(rank) AS rank FROM entries
+  WHERE kind IS NOT NULL AND pattern IS NOT NULL GROUP BY ALL
+),
+spans AS (SELECT *, lead(since) OVER (PARTITION BY kind, pattern ORDER BY since) AS until FROM daily),
+labels AS (SELECT *, string_split(host, '.') AS l FROM n WHERE host IS NOT NULL),
+asked AS (
+  SELECT page_id, day, 'domain' AS kind, array_to_string(l[len(l) - i + 1:], '.') AS pattern, i AS weight
+  FROM (SELECT *, unnest(range(1, len(l) + 1)) AS i FROM labels)
+  UNION ALL SELECT page_id, day, 'host', host, 999 FROM labels
+  UNION ALL SELECT page_id, day, 'prefix', host || '/' || path[1], 1001 FROM labels WHERE len(path) > 0
+),
+found AS (
+  SELECT page_id, kind, pattern, since, CASE rank WHEN 2 THEN 'block' WHEN 1 THEN 'allow' END AS action
+  FROM asked JOIN spans USING (kind, pattern)
+  WHERE day >= since AND (until IS NULL OR day < until) AND rank > 0
+  QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY weight DESC) = 1
+)
+SELECT n.page_id, n.host, n.day, found.action, found.kind, found.pattern, found.since
+FROM n LEFT JOIN found USING (page_id)"""
+
+
 @_query
 def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     """Toxicity of every document, learned from the labelled ones that are not held out."""
