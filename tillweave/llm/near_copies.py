@@ -207,12 +207,48 @@ def _candidates(similarity: float):
     return read
 
 
+def _bucket_table(column: pa.Array) -> np.ndarray:
+    """Ascending bucket numbers of each row, filled up with the largest number."""
+    size = pc.list_value_length(column).to_numpy()
+    out = np.full((len(column), int(size.max(initial=1))), np.iinfo(np.int64).max)
+    out[np.arange(out.shape[1]) < size[:, None]] = column.flatten().to_numpy()
+    return np.sort(out, 1)
+
+
+def _first_common(x: np.ndarray, y: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+    """The smallest bucket that both rows of each pair know."""
+    out = np.empty(len(x), np.int64)
+    step = max(1, (1 << 22) // buckets.shape[1] ** 2)
+    for at in range(0, len(x), step):
+        a, b = buckets[x[at : at + step]], buckets[y[at : at + step]]
+        both = (a[:, :, None] == b[:, None, :]).any(2)
+        out[at : at + step] = a[np.arange(len(a)), both.argmax(1)]
+    return out
+
+
+def _counting(similarity: float):
+    """Rows of (group, bucket, side, node, size, sketch, buckets) in whose bucket one of their pairs counts."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in segments(batches, "group"):
+            group, bucket, side, size = (rows.column(i).to_numpy() for i in (0, 1, 2, 4))
+            sketch, buckets = _sketch_rows(rows.column(5)), _bucket_table(rows.column(6))
+            met = np.zeros(rows.num_rows, bool)
+            for x, y in _pairs(group, side):
+                good = _alike(x, y, size, sketch, similarity)
+                good = good[_first_common(x[good], y[good], buckets) == bucket[x[good]]]
+                met[x[good]] = met[y[good]] = True
+            yield rows.select(["group", "bucket", "side", "node"]).filter(pa.array(met))
+
+    return read
+
+
 def _verified(similarity: float):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in segments(batches, "group"):
             group, bucket, side, node, size, copies = (rows.column(i).to_numpy() for i in range(6))
             sketch = _sketch_rows(rows.column(6))
-            buckets = [np.sort(x.values.to_numpy()) for x in rows.column(7)]
+            buckets = _bucket_table(rows.column(7))
             shingles, first = _numbers(rows.column(8))
             links = np.zeros(rows.num_rows, np.int64)
             root = np.arange(rows.num_rows)
@@ -225,10 +261,8 @@ def _verified(similarity: float):
 
             for x, y in _pairs(group, side):
                 good = _alike(x, y, size, sketch, similarity)
+                good = good[_first_common(x[good], y[good], buckets) == bucket[x[good]]]
                 for i, j in zip(x[good].tolist(), y[good].tolist(), strict=True):
-                    both = np.intersect1d(buckets[i], buckets[j], assume_unique=True)
-                    if both[0] != bucket[i]:
-                        continue
                     shared = len(
                         np.intersect1d(
                             shingles[first[i] : first[i + 1]], shingles[first[j] : first[j + 1]], assume_unique=True
@@ -355,8 +389,11 @@ def near_copies(
         every = every.unionAll(more)
     every = every.distinct()
     known = every.groupBy("node").agg(F.collect_set("bucket").alias("buckets"))
-    full = nodes.select("node", "size", "copies", "sketch").join(known, "node").join(sets, "node")
-    rows = every.join(full, "node").select(
+    known = stage(nodes.select("node", "size", "copies", "sketch").join(known, "node"), "near_known")
+    # Sets go only where one of their pairs counts.
+    light = every.join(known, "node").select("group", "bucket", "side", "node", "size", "sketch", "buckets")
+    every = stage(_dealt(light).mapInArrow(_counting(similarity), looks), "near_counting")
+    rows = every.join(known.join(sets, "node"), "node").select(
         "group", "bucket", "side", "node", "size", "copies", "sketch", "buckets", "shingles"
     )
     links = stage(_dealt(rows).mapInArrow(_verified(similarity), "node long, links long, root long"), "near_links")
