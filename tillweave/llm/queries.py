@@ -8,6 +8,7 @@ from public_tokenizers import path as vocabulary
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillweave.llm.context_mixing import score_texts
 from tillweave.llm.decontamination import decontaminate
 from tillweave.llm.near_copies import near_copies
 from tillweave.llm.packing import pack
@@ -172,6 +173,15 @@ def op7_plane_files(spark: SparkSession, sf: str) -> DataFrame:
     return read_ids(spark, folder, "long", ids=False)
 
 
+@_query
+def op8_context_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    """Unigram and context-mixing log probabilities of every document, learned from those not held out."""
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    scored = score_texts(table(spark, sf, "documents"), training=fold != 1)
+    names = ["n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte"]
+    return scored.select("doc_id", (fold == 1).alias("held_out"), *names)
+
+
 @_query
 def op9_repeated_spans(spark: SparkSession, sf: str) -> DataFrame:
     """What is left of every document without the 35-word windows that occur anywhere else."""
