@@ -26,6 +26,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillweave.llm.textwords import NON_ALPHANUMERIC, Words, pieces, read_words, window_hashes
 from tillweave.operators.materialize import stage
@@ -155,23 +156,22 @@ def decontaminate(
     length: int = LENGTH,
     gram: int = GRAM,
     block_bytes: int = BLOCK_BYTES,
+    with_text: bool = False,
 ) -> DataFrame:
     """(key, n_words, spans, items) of every row: word spans that benchmark windows cover, and the items' ids.
 
-    ``spans`` are disjoint [begin, end) in order, ``items`` distinct.
+    ``spans`` are disjoint [begin, end) in order, ``items`` distinct. ``with_text`` adds the texts as ``text``.
     """
     held = docs.select(
         F.col(key).alias("key"),
         F.col(text).alias("text"),
         F.expr("cast(array() as array<struct<begin:bigint,end:bigint>>)").alias("spans"),
     )
-    kind = held.schema["key"].dataType.simpleString()
     item_kind = benchmark.schema[item].dataType.simpleString()
     held = held.withColumn("items", F.expr(f"cast(array() as array<{item_kind}>)"))
-    schema = (
-        f"key {kind}, text string, n_words long, spans array<struct<begin:long,end:long>>, items array<{item_kind}>, "
-        f"found array<{item_kind}>"
-    )
+    schema = StructType().add("key", held.schema["key"].dataType).add("text", "string").add("n_words", "long")
+    schema = schema.add("spans", held.schema["spans"].dataType)
+    schema = schema.add("items", held.schema["items"].dataType).add("found", held.schema["items"].dataType)
     context = docs.sparkSession.sparkContext
     blocks = _blocks(benchmark, item, item_text, block_bytes)
     for at, count, items in blocks:
@@ -180,13 +180,14 @@ def decontaminate(
 
         def look(batches: Iterator[pa.RecordBatch], shared=shared, last=last) -> Iterator[pa.RecordBatch]:
             for piece in pieces(batches, "text"):
-                yield _results(piece, shared.value, length, gram, not last)
+                yield _results(piece, shared.value, length, gram, with_text or not last)
 
         held = held.select("key", "text", "spans", "items").mapInArrow(look, schema)
         held = held.withColumn("items", F.concat("items", "found"))
         if not last:  # one block at a time is held by a task
             held = stage(held, "decontamination")
-    return held.select(F.col("key").alias(key), "n_words", "spans", F.array_distinct("items").alias("items"))
+    texts = ["text"] if with_text else []
+    return held.select(F.col("key").alias(key), "n_words", "spans", F.array_distinct("items").alias("items"), *texts)
 
 
 def _blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> Iterator[tuple[int, int, pa.Table]]:

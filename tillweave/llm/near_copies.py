@@ -413,18 +413,24 @@ def near_copies(
     )
 
 
-def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def one_of_each(
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", broadcast_rows: int = BROADCAST_ROWS, **options
+) -> DataFrame:
     """The rows of ``docs`` without near copies: of each class the row with the smallest key, once."""
-    found = stage(near_copies(docs, key=key, text=text, **options), "near_rows")
-    empty = found.where(F.col("n_copies") == 1).where(F.col("n_links") == 0).select("row")
-    linked = found.where(F.col("n_links") > 0)
+    found = stage(near_copies(docs, key=key, text=text, broadcast_rows=broadcast_rows, **options), "near_rows")
+    linked = found.where("n_links > 0")
+    # Rows are chosen by their hash; those that are there more than once are told apart at the end. A class may lack
+    # an id if all its keys are null, so classes are grouped null-safe.
     best = linked.groupBy("class_id").agg(F.min(F.struct(F.col(key).alias("k"), "row")).alias("b")).select("b.row")
-    kept = empty.union(best).groupBy("row").agg(F.lit(1).alias("_one"))
-    often = found.groupBy("row").agg(F.count("*").alias("n")).where("n > 1").select("row")
-    again = kept.join(often, "row", "left_semi").join(linked.select("row").distinct(), "row", "left_semi")
-    columns = [F.col(name) for name in docs.columns]
-    rows = docs.select(F.struct(*columns).alias("_doc"), F.xxhash64(F.col(key).cast("string"), F.col(text)).alias("row"))
-    rows = rows.join(kept.select("row"), "row", "left_semi")
-    single = rows.join(again, "row", "left_anti")
-    repeated = rows.join(again, "row", "left_semi").dropDuplicates(["row"])
-    return single.unionByName(repeated).select("_doc.*")
+    often = linked.groupBy("row").agg(F.count("*").alias("n")).where("n > 1").select("row")
+    gone = linked.select("row").distinct().join(best, "row", "left_anti").union(often).distinct()
+    once = often.join(best, "row", "left_semi")
+    gone, once = stage(gone, "near_gone"), stage(once, "near_once")
+
+    def side(rows: DataFrame) -> DataFrame:
+        return F.broadcast(rows) if rows.count() <= broadcast_rows else rows
+
+    rows = docs.select(F.struct(*docs.columns).alias("_doc"), F.xxhash64(F.col(key).cast("string"), F.col(text)).alias("row"))
+    single = rows.join(side(gone), "row", "left_anti")
+    repeated = rows.join(side(once), "row", "left_semi").dropDuplicates(["row"])
+    return single.union(repeated).select("_doc.*")

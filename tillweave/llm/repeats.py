@@ -22,6 +22,7 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillweave.llm.shared_keys import SCHEMA, keyed, repeated_places
 from tillweave.llm.textwords import PIECE_BYTES, Words, flat, pieces, read_words, sums_per_text
@@ -84,45 +85,53 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield keyed(words.windows(WINDOW)[at], piece.column(0).to_numpy()[words.text[at]], _numbers(words)[at])
 
 
-def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for piece in _unpacked(batches):
-        words = read_words(piece.column(2))
-        gone = spread_spans(piece.column(3), words, 0, WINDOW - 1)
-        texts = []
-        for i in range(len(words.first) - 1):
-            low, high = words.offsets[i], words.offsets[i + 1]
+def _kept(original: bool):
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in _unpacked(batches):
+            yield _rest(piece, original)
+
+    return read
+
+
+def _rest(piece: pa.RecordBatch, original: bool) -> pa.RecordBatch:
+    words = read_words(piece.column(2))
+    gone = spread_spans(piece.column(3), words, 0, WINDOW - 1)
+    removed = sums_per_text(gone, words.first)
+    texts = []
+    for i, n in enumerate(removed.tolist()):
+        low, high = words.offsets[i], words.offsets[i + 1]
+        body = words.data[low:high].tobytes()
+        if n or not original:
             at = words.first[i] + np.flatnonzero(~gone[words.first[i] : words.first[i + 1]])
-            body = words.data[low:high].tobytes()
-            texts.append(b" ".join([body[s:e] for s, e in zip((words.start[at] - low).tolist(), (words.end[at] - low).tolist())]))
-        yield pa.RecordBatch.from_arrays(
-            [
-                piece.column(1),
-                pa.array(words.counts),
-                pa.array(sums_per_text(gone, words.first)),
-                pa.array(texts, pa.binary()).cast(pa.string()),
-            ],
-            ["key", "n_words", "n_removed", "kept"],
-        )
+            begin, end = (words.start[at] - low).tolist(), (words.end[at] - low).tolist()
+            body = b" ".join([body[x:y] for x, y in zip(begin, end, strict=True)])
+        texts.append(body)
+    columns = [piece.column(1), pa.array(words.counts), pa.array(removed), pa.array(texts, pa.binary()).cast(pa.string())]
+    return pa.RecordBatch.from_arrays(columns, ["key", "n_words", "n_removed", "kept"])
 
 
 def _listed(places: DataFrame) -> DataFrame:
     return places.groupBy(F.col("owner").alias("row")).agg(F.collect_list("place").alias("places"))
 
 
-def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_words, n_removed, kept) of every row; ``kept`` is the remaining words joined by single spaces."""
+def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", original: bool = False) -> DataFrame:
+    """(key, n_words, n_removed, kept) of every row; ``kept`` is the remaining words joined by single spaces.
+
+    With ``original``, texts that lose nothing stay as they are, white space included (a null becomes empty).
+    """
     rows = docs.select(
         F.xxhash64(F.col(key).cast("string"), F.col(text)).alias("row"), F.col(key).alias("key"), F.col(text).alias("text")
     )
-    kind = rows.schema["key"].dataType.simpleString()
+    kind = rows.schema["key"].dataType
     anchors = repeated_places(rows.select("row", "text").mapInArrow(_anchors, SCHEMA))
     # Texts are shuffled once, by row: both joins read the same exchange. The lists are the small side.
     # (The inner join would add the condition, which never fails, to its own exchange alone.)
-    packed = rows.mapInArrow(_packed, f"row long, key {kind}, text binary").where("row is not null")
+    packed = rows.mapInArrow(_packed, StructType().add("row", "long").add("key", kind).add("text", "binary")).where("row is not null")
     near = packed.join(_listed(anchors).hint("shuffle_hash"), "row").select("row", "key", "text", "places")
     windows = repeated_places(near.mapInArrow(_windows, SCHEMA))
     marked = packed.join(_listed(windows).hint("shuffle_hash"), "row", "left").select(
         "row", "key", "text", F.coalesce("places", F.expr("cast(array() as array<int>)")).alias("places")
     )
-    out = marked.mapInArrow(_kept, f"key {kind}, n_words long, n_removed long, kept string")
+    schema = StructType().add("key", kind).add("n_words", "long").add("n_removed", "long").add("kept", "string")
+    out = marked.mapInArrow(_kept(original), schema)
     return out.withColumnRenamed("key", key)

@@ -178,25 +178,40 @@ def fit(
     return Model(model.slots, model.weights * weight, bias)
 
 
+def scores_of(texts: pa.Array, model: Model, memo: Memo) -> np.ndarray:
+    words = read_words(texts, NON_ALPHANUMERIC, lower=True)
+    of, feature = text_features(words, memo, max(len(model.slots), 1))
+    total = np.bincount(of, model.weights[feature], len(texts)) if len(of) else np.zeros(len(texts))
+    with np.errstate(over="ignore"):
+        return 1 / (1 + np.exp(-(total + model.bias)))
+
+
 def score(docs: DataFrame, model: Model, *, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """(key, score) of every row, with the columns of ``keep``; score is the probability of label 1."""
     columns = [F.col(name).alias(f"c{i}") for i, name in enumerate((key, *keep))]
     rows = docs.select(*columns, F.col(text).alias("text"))
     at = len(columns)
     shared: Broadcast[Model] = docs.sparkSession.sparkContext.broadcast(model)
-    memos: dict[int, Memo] = {}
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        memo = memos.setdefault(0, Memo(model.word_features))
+        memo = Memo(shared.value.word_features)
         for piece in pieces(batches, "text"):
-            words = read_words(piece.column(at), NON_ALPHANUMERIC, lower=True)
-            of, feature = text_features(words, memo, max(len(model.slots), 1))
-            total = np.bincount(of, model.weights[feature], piece.num_rows) if len(of) else np.zeros(piece.num_rows)
-            with np.errstate(over="ignore"):
-                found = 1 / (1 + np.exp(-(total + model.bias)))
+            found = scores_of(piece.column(at), shared.value, memo)
             yield pa.RecordBatch.from_arrays([*piece.columns[:at], pa.array(found)], [*piece.schema.names[:at], "score"])
 
     types = ", ".join(f"c{i} {docs.schema[name].dataType.simpleString()}" for i, name in enumerate((key, *keep)))
     out = rows.mapInArrow(scored, f"{types}, score double")
     return out.toDF(key, *keep, "score")
+
+
+def without_toxic(docs: DataFrame, model: Model, *, text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` with a score below the threshold, as they are."""
+    shared: Broadcast[Model] = docs.sparkSession.sparkContext.broadcast(model)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = Memo(shared.value.word_features)
+        for piece in pieces(batches, text):
+            found = scores_of(piece.column(piece.schema.get_field_index(text)), shared.value, memo)
+            yield piece.filter(pa.array(found < threshold))
+
+    return docs.mapInArrow(kept, docs.schema)
