@@ -1,28 +1,23 @@
-"""Many-to-one left joins that hold up under skew (JN-1..7, JN-9, JN-10).
+"""Many-to-one left joins (JN-1..7, JN-9, JN-10).
 
-The lookup side is broadcast only after its rows and bytes were counted against a bound. Beyond the bound
-the join is shuffled, and keys that hold too many rows are spread over several tasks: the rows of such a key get
-a salt, the (single) lookup row is repeated once per salt.
+A join never multiplies rows: a lookup that may repeat its key is reduced to its smallest row per key first. The lookup is
+broadcast only after its rows and bytes were counted against a bound. Beyond the bound both sides are shuffled; a key
+that holds many of the rows is then split by Spark's adaptive skew join, for which ``session.SETTINGS`` asks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, MapType, StructField, StructType
 
 
 @dataclass(frozen=True)
 class JoinBounds:
     broadcast_rows: int = 200_000
     broadcast_bytes: int = 32 * 1024 * 1024
-    rows_per_task: int = 2_000_000
-    hot_keys: int = 10_000
 
 
 BOUNDS = JoinBounds()
@@ -39,54 +34,29 @@ def fits_broadcast(lookup: DataFrame, bounds: JoinBounds = BOUNDS) -> bool:
     return rows <= bounds.broadcast_rows and size <= bounds.broadcast_bytes
 
 
+def one_per_key(lookup: DataFrame, keys: list[str]) -> DataFrame:
+    """The smallest row of each key, nulls first."""
+    others = [name for name in lookup.columns if name not in keys]
+    if not others:
+        return lookup.dropDuplicates(keys)
+    kept = F.min(F.struct(*others)).alias("_kept")
+    return lookup.groupBy(*keys).agg(kept).select(*keys, *(F.col(f"_kept.{name}") for name in others))
+
+
 def attach(
     rows: DataFrame,
     lookup: DataFrame,
     on: str | Sequence[str],
     *,
+    unique: bool = False,
     bounds: JoinBounds = BOUNDS,
 ) -> DataFrame:
-    """Left join of ``rows`` with ``lookup``, which must be unique on ``on``; unmatched rows get nulls."""
+    """Left join of ``rows`` with ``lookup``; unmatched rows get nulls.
+
+    ``unique`` says that the lookup has each key once, as a grouped or numbered table does.
+    """
     keys = [on] if isinstance(on, str) else list(on)
+    lookup = lookup if unique else one_per_key(lookup, keys)
     if fits_broadcast(lookup, bounds):
         return rows.join(F.broadcast(lookup), keys, "left")
-    return _attach_shuffled(rows, lookup, keys, bounds)
-
-
-def _hot_keys(rows: DataFrame, keys: list[str], bounds: JoinBounds) -> DataFrame | None:
-    """Keys with more rows than one task should get, and the number of salts for each.
-
-    The limit is at least ``total / hot_keys``, so no more than ``hot_keys`` keys can exceed it.
-    """
-    counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
-    limit = max(bounds.rows_per_task, rows.count() // bounds.hot_keys, 1)
-    found = counts.where(F.col("_n") > limit).select(
-        *(F.col(key).alias(f"_hot_{at}") for at, key in enumerate(keys)),
-        F.ceil(F.col("_n") / limit).cast("long").alias("_copies"),
-    )
-    hot = found.collect()
-    if not hot:
-        return None
-    fields = [StructField(field.name, field.dataType, True) for field in found.schema.fields[:-1]]
-    schema = StructType([*fields, StructField("_copies", LongType(), False)])
-    return F.broadcast(rows.sparkSession.createDataFrame(hot, schema))
-
-
-def _attach_shuffled(
-    rows: DataFrame, lookup: DataFrame, keys: list[str], bounds: JoinBounds
-) -> DataFrame:
-    hot = _hot_keys(rows, keys, bounds)
-    if hot is None:
-        return rows.join(lookup.hint("shuffle_merge"), keys, "left")
-
-    def with_copies(df: DataFrame) -> DataFrame:
-        same = reduce(and_, [df[key].eqNullSafe(hot[f"_hot_{at}"]) for at, key in enumerate(keys)])
-        return df.join(hot, same, "left").drop(*(f"_hot_{at}" for at in range(len(keys))))
-
-    # The salt depends on the row and its input partition only, so a repeated task gives the same salt.
-    hashable = [c.name for c in rows.schema.fields if not isinstance(c.dataType, MapType)]
-    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *(rows[c] for c in hashable)), F.col("_copies"))
-    salted = with_copies(rows).withColumn("_salt", F.coalesce(salt, F.lit(0))).drop("_copies")
-    last = F.coalesce(F.col("_copies"), F.lit(1)) - 1
-    spread = with_copies(lookup).withColumn("_salt", F.explode(F.sequence(F.lit(0), last))).drop("_copies")
-    return salted.join(spread.hint("shuffle_merge"), [*keys, "_salt"], "left").drop("_salt")
+    return rows.join(lookup.hint("shuffle_merge"), keys, "left")

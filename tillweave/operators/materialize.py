@@ -6,32 +6,52 @@ session and read back. That cuts the lineage, survives lost executors, and gives
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tillweave.errors import ConfigError
 
 _local_folders: dict[str, str] = {}
+_owned: ContextVar[str | None] = ContextVar("owned", default=None)
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a temporary folder only for local sessions without one."""
+    """The session's ``spark.checkpoint.dir``; for local sessions without one, a folder that ends with the process."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
         raise ConfigError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _local_folders:
         _local_folders[app] = tempfile.mkdtemp(prefix="tillweave-")
+        atexit.register(shutil.rmtree, _local_folders[app], ignore_errors=True)
     return _local_folders[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder."""
-    return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{_owned.get() or scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def owned_scratch(spark: SparkSession) -> Iterator[str]:
+    """What is staged inside belongs to one run and is deleted when the run ends, well or not."""
+    folder = f"{scratch_folder(spark)}/run-{uuid.uuid4().hex}"
+    token = _owned.set(folder)
+    try:
+        yield folder
+    finally:
+        _owned.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -39,12 +59,3 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Even out a scan that has fewer splits than the session has cores, as for one small unsplittable file.
-
-    A scan with enough splits is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -7,10 +7,10 @@ import re
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillweave.errors import ConfigError, QualityError
+from tillweave.errors import QualityError
 from tillweave.functions import dates, text
 from tillweave.operators.surrogate import assign_ids
-from tillweave.plans.staging import percent_columns, require_columns
+from tillweave.plans.staging import percent_columns, require_columns, spot_number
 from tillweave.sources.reference import CalendarNames, SaleTypes
 from tillweave.vocabulary import DIRECTIONS
 
@@ -46,7 +46,7 @@ def build_dim_date(staging: DataFrame, names: CalendarNames) -> DataFrame:
 def build_dim_spot(spots: DataFrame) -> DataFrame:
     require_columns(spots, ["spot_id_raw", "spot_name", "city", "street"], "spots")
     clean = spots.select(
-        F.col("spot_id_raw").try_cast("int").alias("spot_id_raw"),
+        spot_number(spots).cast("int").alias("spot_id_raw"),
         text.tidy(F.col("spot_name")).alias("spot_name"),
         text.tidy(F.col("street")).alias("address"),
         text.tidy(F.col("city")).alias("city"),
@@ -128,10 +128,3 @@ def build_dim_sale_type(staging: DataFrame, config: SaleTypes) -> DataFrame:
     return dim.select(
         F.row_number().over(position).alias("sale_type_id"), "*", F.lit(True).alias("is_active")
     )
-
-
-def check_calendar_names(names: CalendarNames) -> CalendarNames:
-    """A calendar that spans a year needs all names."""
-    if len(names.months) < 12 or len(names.days) < 7:
-        raise ConfigError("month or day names are missing")
-    return names

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillweave.errors import QualityError
 from tillweave.functions.numbers import measure
 from tillweave.functions.text import quoted
-from tillweave.operators.attach import BOUNDS, JoinBounds, attach, fits_broadcast
+from tillweave.operators.attach import BOUNDS, JoinBounds, attach, fits_broadcast, one_per_key
 from tillweave.operators.materialize import stage
 from tillweave.plans.costs import unit_costs_as_of
 from tillweave.plans.staging import require_columns
@@ -19,15 +19,46 @@ def product_keys(identity: DataFrame, dim_product: DataFrame) -> DataFrame:
     """JN-3 and JN-4 in one lookup, written once for all facts: work key to product id."""
     require_columns(identity, ["product_work_key", "product_business_key"], "product identity")
     require_columns(dim_product, ["product_business_key", "product_id"], "dim_product")
-    keys = identity.select("product_work_key", "product_business_key").dropDuplicates(["product_work_key"])
-    ids = dim_product.select("product_business_key", "product_id").dropDuplicates(["product_business_key"])
+    keys = one_per_key(identity.select("product_work_key", "product_business_key"), ["product_work_key"])
+    ids = dim_product.select("product_business_key", "product_id")
     found = attach(keys, ids, "product_business_key").select("product_work_key", "product_id")
     return stage(found, "product-keys")
 
 
 def spot_keys(dim_spot: DataFrame) -> DataFrame:
     require_columns(dim_spot, ["spot_id_raw", "spot_id"], "dim_spot")
-    return dim_spot.select("spot_id_raw", "spot_id").dropDuplicates(["spot_id_raw"])
+    return dim_spot.select("spot_id_raw", "spot_id")
+
+
+def resolve_rows(
+    rows: DataFrame, keys: DataFrame, dim_spot: DataFrame, columns: list[str], bounds: JoinBounds = BOUNDS
+) -> DataFrame:
+    """JN-3..5 once for all facts: staging rows with ``spot_id`` and ``product_id`` and the named columns only."""
+    names = ["report_date", "spot_id_raw", "product_work_key", "is_heated"]
+    narrow = rows.select(*names, *(quoted(name) for name in columns))
+    return _located(narrow, dim_spot, keys, bounds).drop("spot_id_raw", "product_work_key")
+
+
+def _located(rows: DataFrame, dim_spot: DataFrame, keys: DataFrame | None, bounds: JoinBounds) -> DataFrame:
+    """Attach the ids that the rows don't have yet."""
+    if "spot_id" not in rows.columns:
+        rows = attach(rows, spot_keys(dim_spot), "spot_id_raw", bounds=bounds)
+    if "product_id" not in rows.columns:
+        rows = attach(rows, keys, "product_work_key", unique=True, bounds=bounds)
+    return rows
+
+
+def _place(staging: DataFrame) -> list[str]:
+    """Day, spot and product of staging rows, by id where the rows are resolved already."""
+    spot = "spot_id" if "spot_id" in staging.columns else "spot_id_raw"
+    product = "product_id" if "product_id" in staging.columns else "product_work_key"
+    return ["report_date", spot, product]
+
+
+def _keys_for(
+    staging: DataFrame, identity: DataFrame | None, dim_product: DataFrame | None, keys: DataFrame | None
+) -> DataFrame | None:
+    return product_keys(identity, dim_product) if keys is None and "product_id" not in staging.columns else keys
 
 
 def present_columns(df: DataFrame, dim: DataFrame, column: str) -> list[str]:
@@ -47,17 +78,19 @@ def unpivot_measures(df: DataFrame, ids: list[str], columns: list[str], variable
     return long.where((F.col("quantity") != 0) & ~F.isnan("quantity"))
 
 
-def _reduced(rows: DataFrame, keys: DataFrame, grain: list[str], sums: list[str], bounds: JoinBounds) -> DataFrame:
-    """Sum ``rows`` on their own keys before a shuffled join; rows that meet a broadcast stay as they are."""
-    if fits_broadcast(keys, bounds):
+def _reduced(
+    rows: DataFrame, keys: DataFrame | None, grain: list[str], sums: list[str], bounds: JoinBounds
+) -> DataFrame:
+    """Sum ``rows`` on their own keys before a shuffled join; rows that need none stay as they are."""
+    if "product_id" in rows.columns or fits_broadcast(keys, bounds):
         return rows
     return rows.groupBy(*grain).agg(*(F.sum(name).alias(name) for name in sums))
 
 
 def build_fact_sales_quantity(
     staging: DataFrame,
-    identity: DataFrame,
-    dim_product: DataFrame,
+    identity: DataFrame | None,
+    dim_product: DataFrame | None,
     dim_sale_type: DataFrame,
     dim_spot: DataFrame,
     *,
@@ -65,22 +98,20 @@ def build_fact_sales_quantity(
     bounds: JoinBounds = BOUNDS,
 ) -> DataFrame:
     """JN-3..6, AGG-10: quantity per date, spot, product, sale type and heating."""
-    require_columns(
-        staging, ["report_date", "spot_id_raw", "product_work_key", "is_heated"], "fact_sales_quantity staging"
-    )
+    base = [*_place(staging), "is_heated"]
+    require_columns(staging, base, "fact_sales_quantity staging")
     columns = present_columns(staging, dim_sale_type, "source_column")
     if not columns:
         raise QualityError("staging has no sales quantity column")
-    base = ["report_date", "spot_id_raw", "product_work_key", "is_heated"]
     long = unpivot_measures(staging, base, columns, "source_column").withColumn(
         "quantity", measure(F.col("quantity"))
     )
-    keys = product_keys(identity, dim_product) if keys is None else keys
+    keys = _keys_for(staging, identity, dim_product, keys)
     long = _reduced(long, keys, [*base, "source_column"], ["quantity"], bounds)
+    # Several codes may share a column; its rows go to the lowest id.
     types = dim_sale_type.select("source_column", "sale_type_id")
     fact = attach(long, types, "source_column", bounds=bounds)
-    fact = attach(fact, spot_keys(dim_spot), "spot_id_raw", bounds=bounds)
-    fact = attach(fact, keys, "product_work_key", bounds=bounds)
+    fact = _located(fact, dim_spot, keys, bounds)
     return (
         fact.groupBy(F.col("report_date").alias("date"), "spot_id", "product_id", "sale_type_id", "is_heated")
         .agg(F.sum("quantity").cast("double").alias("quantity"))
@@ -89,15 +120,15 @@ def build_fact_sales_quantity(
 
 def build_fact_sales_gross(
     staging: DataFrame,
-    identity: DataFrame,
-    dim_product: DataFrame,
+    identity: DataFrame | None,
+    dim_product: DataFrame | None,
     dim_spot: DataFrame,
     *,
     keys: DataFrame | None = None,
     bounds: JoinBounds = BOUNDS,
 ) -> DataFrame:
     """FLT-2, JN-3..5, AGG-11: gross amount per date, spot, product and heating."""
-    base = ["report_date", "spot_id_raw", "product_work_key", "is_heated"]
+    base = [*_place(staging), "is_heated"]
     require_columns(staging, [*base, GROSS], "fact_sales_gross staging")
     amount = quoted(GROSS).cast("double")
     rows = (
@@ -105,10 +136,9 @@ def build_fact_sales_gross(
         .where((F.col("amount") != 0) & ~F.isnan("amount"))
         .withColumn("amount", measure(F.col("amount")))
     )
-    keys = product_keys(identity, dim_product) if keys is None else keys
+    keys = _keys_for(staging, identity, dim_product, keys)
     rows = _reduced(rows, keys, base, ["amount"], bounds)
-    fact = attach(rows, spot_keys(dim_spot), "spot_id_raw", bounds=bounds)
-    fact = attach(fact, keys, "product_work_key", bounds=bounds)
+    fact = _located(rows, dim_spot, keys, bounds)
     return fact.groupBy(F.col("report_date").alias("date"), "spot_id", "product_id", "is_heated").agg(
         F.sum("amount").cast("double").alias("amount")
     )
@@ -116,35 +146,38 @@ def build_fact_sales_gross(
 
 def receipt_costs(staging: DataFrame, received: str = RECEIVED) -> DataFrame:
     """FLT-3: unit costs seen on receipts."""
-    require_columns(staging, ["report_date", "product_work_key", received, UNIT_COST], "fact_productcost staging")
+    product = _place(staging)[2]
+    require_columns(staging, ["report_date", product, received, UNIT_COST], "fact_productcost staging")
     cost = quoted(UNIT_COST).cast("double")
     priced = staging.where((quoted(received).cast("double") > 0) & cost.isNotNull() & ~F.isnan(cost))
-    return priced.select("report_date", "product_work_key", cost.alias("productcost"))
+    return priced.select("report_date", product, cost.alias("productcost"))
 
 
 def costs_by_product(
     staging: DataFrame,
-    identity: DataFrame,
-    dim_product: DataFrame,
+    identity: DataFrame | None,
+    dim_product: DataFrame | None,
     *,
     keys: DataFrame | None = None,
     bounds: JoinBounds = BOUNDS,
 ) -> DataFrame:
     """Unit costs seen on receipts with their product: ``date, product_id, productcost``."""
-    keys = product_keys(identity, dim_product) if keys is None else keys
+    keys = _keys_for(staging, identity, dim_product, keys)
     seen = receipt_costs(staging)
-    if not fits_broadcast(keys, bounds):
-        seen = seen.distinct()
-    return attach(seen, keys, "product_work_key", bounds=bounds).select(
-        F.col("report_date").alias("date"), "product_id", "productcost"
-    )
+    if "product_id" not in seen.columns:
+        seen = seen if fits_broadcast(keys, bounds) else seen.distinct()
+        seen = attach(seen, keys, "product_work_key", unique=True, bounds=bounds)
+    return seen.select(F.col("report_date").alias("date"), "product_id", "productcost")
 
 
 def build_fact_productcost(
     staging: DataFrame, identity: DataFrame, dim_product: DataFrame, *, keys: DataFrame | None = None
 ) -> DataFrame:
     """AGG-13: the highest unit cost per date and product."""
-    costs = costs_by_product(staging, identity, dim_product, keys=keys)
+    return highest_costs(costs_by_product(staging, identity, dim_product, keys=keys))
+
+
+def highest_costs(costs: DataFrame) -> DataFrame:
     return costs.groupBy("date", "product_id").agg(F.max("productcost").alias("productcost"))
 
 
@@ -152,7 +185,11 @@ def productcost_conflicts(
     staging: DataFrame, identity: DataFrame, dim_product: DataFrame, *, keys: DataFrame | None = None
 ) -> DataFrame:
     """DQ-10: dates and products with several unit costs."""
-    costs = costs_by_product(staging, identity, dim_product, keys=keys).distinct()
+    return conflicting_costs(costs_by_product(staging, identity, dim_product, keys=keys).distinct())
+
+
+def conflicting_costs(costs: DataFrame) -> DataFrame:
+    """Of distinct costs by day and product."""
     return (
         costs.groupBy("date", "product_id")
         .agg(F.count("*").alias("productcost_unique_count"))
@@ -162,8 +199,8 @@ def productcost_conflicts(
 
 def movement_base(
     staging: DataFrame,
-    identity: DataFrame,
-    dim_product: DataFrame,
+    identity: DataFrame | None,
+    dim_product: DataFrame | None,
     dim_spot: DataFrame,
     dim_movement_type: DataFrame,
     *,
@@ -176,7 +213,8 @@ def movement_base(
     The cost of a movement is linear in its quantity, so the sums needed for it are taken before valuation:
     the receipt cost that the source gives, and the quantity that must be valued by unit cost.
     """
-    base = ["report_date", "spot_id_raw", "product_work_key", RECEIPT_COST]
+    place = _place(staging)
+    base = [*place, RECEIPT_COST]
     require_columns(staging, base, "fact_inventory_movement staging")
     columns = present_columns(staging, dim_movement_type, "movement_type_column")
     if not columns:
@@ -186,9 +224,7 @@ def movement_base(
     is_receipt = F.col("movement_type_column") == receipt_column
     direct = F.when(is_receipt & given.isNotNull() & ~F.isnan(given), given)
     long = long.select(
-        "report_date",
-        "spot_id_raw",
-        "product_work_key",
+        *place,
         "movement_type_column",
         measure(F.col("quantity")).alias("quantity"),
         measure(direct).alias("direct_cost"),
@@ -196,13 +232,11 @@ def movement_base(
         F.when(direct.isNull(), 1).otherwise(0).cast("long").alias("open_rows"),
     )
     sums = ["quantity", "direct_cost", "open_quantity", "open_rows"]
-    keys = product_keys(identity, dim_product) if keys is None else keys
-    grain = ["report_date", "spot_id_raw", "product_work_key", "movement_type_column"]
-    long = _reduced(long, keys, grain, sums, bounds)
+    keys = _keys_for(staging, identity, dim_product, keys)
+    long = _reduced(long, keys, [*place, "movement_type_column"], sums, bounds)
     types = dim_movement_type.select("movement_type_column", "movement_type_id")
     fact = attach(long, types, "movement_type_column", bounds=bounds)
-    fact = attach(fact, spot_keys(dim_spot), "spot_id_raw", bounds=bounds)
-    fact = attach(fact, keys, "product_work_key", bounds=bounds)
+    fact = _located(fact, dim_spot, keys, bounds)
     is_receipt = (F.col("movement_type_column") == receipt_column).alias("is_receipt")
     return fact.groupBy(
         F.col("report_date").alias("date"), "spot_id", "product_id", "movement_type_id", is_receipt
@@ -221,8 +255,8 @@ def value_movements(base: DataFrame, unit_costs: DataFrame) -> DataFrame:
 
 def build_fact_inventory_movement(
     staging: DataFrame,
-    identity: DataFrame,
-    dim_product: DataFrame,
+    identity: DataFrame | None,
+    dim_product: DataFrame | None,
     dim_spot: DataFrame,
     dim_movement_type: DataFrame,
     costs: DataFrame,

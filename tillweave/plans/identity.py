@@ -132,7 +132,7 @@ def resolve_identity(candidates: DataFrame) -> DataFrame:
     seeking = nodes.select("node", "own_key", "has_recipe", "group_key", "name")
     keeps_itself = F.col("has_recipe") | F.col("owner").isNull()
     links = stage(
-        attach(seeking, owners, ["group_key", "name"]).select(
+        attach(seeking, owners, ["group_key", "name"], unique=True).select(
             "node",
             "has_recipe",
             F.when(keeps_itself, F.col("node")).otherwise(F.col("owner")).alias("parent"),
@@ -141,7 +141,7 @@ def resolve_identity(candidates: DataFrame) -> DataFrame:
         "identity-links",
     )
     roots = _follow(links)
-    resolved = attach(links, roots.withColumnRenamed("node", "parent"), "parent")
+    resolved = attach(links, roots.withColumnRenamed("node", "parent"), "parent", unique=True)
 
     is_root = F.col("root") == F.col("node")
     kind = F.when(F.col("has_recipe"), "RECIPE").when(is_root, "TEMPORARY").otherwise("NAME_MATCH")
@@ -182,7 +182,7 @@ def _follow(links: DataFrame) -> DataFrame:
             F.col("node").alias("root"), F.col("root").alias("next"), F.col("root_key").alias("next_key")
         )
         moved = stage(
-            attach(pointers, following, "root").select(
+            attach(pointers, following, "root", unique=True).select(
                 "node",
                 F.col("next").alias("root"),
                 F.col("next_key").alias("root_key"),

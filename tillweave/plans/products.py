@@ -73,7 +73,7 @@ def variants_from_observations(observations: DataFrame, names: DataFrame) -> Dat
         text.split_names(F.col("product_alternative_names")).alias("alternative_names"),
     )
     return (
-        attach(cells, lookup, "product_work_key")
+        attach(cells, lookup, "product_work_key", unique=True)
         .withColumn("product_group_final", F.coalesce("product_canonical_group", "product_group_fallback"))
         .drop("product_canonical_group", "product_group_fallback")
     )
@@ -201,6 +201,7 @@ def dim_product_from_variants(variants: DataFrame, identity: DataFrame, rules: S
         variants,
         identity.select("product_work_key", "product_business_key", "product_identity_type"),
         "product_work_key",
+        unique=True,
     )
     products = stage(product_attributes(stage(keyed, "product-variants"), rules), "products")
     return assign_ids(products, "product_id", [F.col("product_business_key")])

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tillweave.errors import QualityError
 from tillweave.functions.numbers import exact_sum
 from tillweave.functions.text import quoted
+from tillweave.operators.materialize import stage
 from tillweave.plans.dimensions import invalid_directions, missing_parents
 from tillweave.plans.facts import movement_cost_issues
 
@@ -39,9 +40,13 @@ def _issues(df: DataFrame, check: str, severity: str, table: str, key: Column, d
 
 
 def _sampled(found: DataFrame, keys: list[str], check: str, severity: str, table: str) -> DataFrame:
-    """LIM-1: one issue with the number of offending keys and up to 20 of them."""
+    """LIM-1: one issue with the number of offending keys and up to 20 of them.
+
+    The offending keys are written once and then both counted and listed.
+    """
     key = F.to_json(F.struct(*(quoted(name) for name in keys)), {"ignoreNullFields": "false"})
-    sample = found.select(key.alias("key")).orderBy("key").limit(SAMPLE)
+    found = stage(found.select(key.alias("key")), "offending")
+    sample = found.orderBy("key").limit(SAMPLE)
     total = found.agg(F.count("*").alias("n")).where("n > 0").withColumn("one", F.lit(1))
     listed = sample.agg(F.array_join(F.array_sort(F.collect_list("key")), ", ").alias("keys")).withColumn(
         "one", F.lit(1)
@@ -74,6 +79,31 @@ def negative_counts(df: DataFrame, columns: list[str], table: str) -> DataFrame:
     return _counted(df, {name: quoted(name) < 0 for name in columns}, "negative", "warning", table)
 
 
+def table_issues(
+    df: DataFrame, table: str, nulls: list[str], negatives: list[str], empty: str = "error"
+) -> DataFrame:
+    """DQ-1, DQ-7 and DQ-8 of a table in one pass over it."""
+    tests = {("nulls", "error", name): F.count_if(quoted(name).isNull()) for name in nulls}
+    tests |= {("negative", "warning", name): F.count_if(quoted(name) < 0) for name in negatives}
+    tests["empty", empty, None] = F.when(F.count("*") == 0, 1).otherwise(0)
+    counts = df.agg(
+        F.array(
+            *(
+                F.struct(
+                    F.lit(check).alias("check_name"),
+                    F.lit(severity).alias("severity"),
+                    F.lit(table).alias("table_name"),
+                    F.lit(name).cast("string").alias("key"),
+                    F.lit(None).cast("string").alias("detail"),
+                    n.cast("long").alias("n"),
+                )
+                for (check, severity, name), n in tests.items()
+            )
+        ).alias("found")
+    )
+    return counts.select(F.inline("found")).where("n > 0")
+
+
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once, with their number of rows."""
     return df.groupBy(*(quoted(name) for name in keys)).agg(F.count("*").alias("n_rows")).where("n_rows > 1")
@@ -195,8 +225,15 @@ def unite(*issues: DataFrame) -> DataFrame:
 
 
 def raise_on_errors(issues: DataFrame) -> None:
-    """Raise if there are error issues. Checks give a few rows each, so the list is short."""
-    errors = issues.where("severity = 'error'").limit(SAMPLE).collect()
-    if errors:
-        lines = [f"{row.table_name}: {row.check_name} {row.key or ''} n={row.n} {row.detail or ''}" for row in errors]
-        raise QualityError("; ".join(line.strip() for line in lines))
+    """Raise if there are error issues: the exception names the tables, their checks and totals.
+
+    The issues themselves are in ``dq_issues``. There are as many groups as checks in the program.
+    """
+    errors = issues.where("severity = 'error'")
+    found = errors.groupBy("table_name", "check_name").agg(F.count("*").alias("issues"), F.sum("n").alias("n"))
+    lines = [
+        f"{row.table_name}: {row.check_name}, {row.issues} issues, n={row.n}"
+        for row in found.orderBy("table_name", "check_name").collect()
+    ]
+    if lines:
+        raise QualityError("; ".join(lines))

@@ -11,10 +11,10 @@ from decimal import Decimal
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillweave.errors import ConfigError, QualityError
+from tillweave.errors import QualityError
 from tillweave.functions import dates, numbers, text
 from tillweave.functions.text import quoted
 from tillweave.operators.attach import attach
@@ -65,18 +65,25 @@ def normalize_metrics(df: DataFrame) -> DataFrame:
     return _as_numbers(df, [*METRICS, *percent_columns(df.columns)], decimal_comma=True)
 
 
+def spot_number(df: DataFrame) -> Column:
+    """CAST-2: spot ids as numbers, whether they come as numbers or as texts such as ``"1.0"``; else null."""
+    number = numbers.to_number(F.col("spot_id_raw"), df.schema["spot_id_raw"].dataType, decimal_comma=False)
+    return F.when(number == F.floor(number), number.cast("long"))
+
+
 def map_spots(df: DataFrame, spots: DataFrame) -> DataFrame:
     """JN-1: adds ``spot_name, city, street, spot_mapping_found``.
 
-    ``spots`` must be unique on ``spot_id_raw``. Rows without a spot keep nulls and the flag false.
+    ``spots`` must be unique on ``spot_id_raw``, else the run ends. Rows without a spot keep nulls and the flag false.
     """
     require_columns(df, ["spot_id_raw"], "map_spots input")
     require_columns(spots, ["spot_id_raw", "spot_name", "city", "street"], "spots")
-    lookup = spots.select(
-        F.col("spot_id_raw").try_cast("long").alias("spot_id_raw"), "spot_name", "city", "street"
-    )
-    rows = df.withColumn("spot_id_raw", F.col("spot_id_raw").try_cast("long"))
-    return attach(rows, lookup, "spot_id_raw").withColumn(
+    lookup = spots.select(spot_number(spots).alias("spot_id_raw"), "spot_name", "city", "street")
+    repeated = lookup.groupBy("spot_id_raw").count().where("spot_id_raw IS NOT NULL AND count > 1")
+    if not repeated.isEmpty():
+        raise QualityError("spots have the same spot_id_raw")
+    rows = df.withColumn("spot_id_raw", spot_number(df))
+    return attach(rows, lookup.where("spot_id_raw IS NOT NULL"), "spot_id_raw", unique=True).withColumn(
         "spot_mapping_found", F.col("spot_name").isNotNull()
     )
 
@@ -251,7 +258,6 @@ def with_corrections(names: DataFrame, corrections: DataFrame) -> DataFrame:
         F.lit(True).alias("_listed"),
     )
     selected = F.col("product_name_selected")
-    lookup = lookup.dropDuplicates(["product_name_selected"])
     changed = (F.col("_name") != selected) | (F.col("_action") == "replace")
     return (
         attach(names, lookup, "product_name_selected")
@@ -297,16 +303,19 @@ def with_product_flags(df: DataFrame) -> DataFrame:
 def clean_products(df: DataFrame, corrections: DataFrame, names: DataFrame | None = None) -> DataFrame:
     """Product cleaning with the per-key results written back to the rows (JN-10).
 
-    ``names`` is a staged result of ``product_names``; with it the join is sized and salted. Without it the
-    join is left to Spark, which drops it altogether where no name column is read.
+    ``names`` is a staged result of ``product_names``; without it the join is left to Spark, which drops it altogether
+    where no name column is read. Hot work keys are split by the adaptive skew join either way.
     """
     rows = df.transform(with_product_cells).transform(clean_product_cells)
     if names is not None:
-        joined = attach(rows, names.drop("alternative_names"), "product_work_key")
-    else:
-        lookup = product_names(rows, corrections).drop("alternative_names")
-        joined = rows.join(lookup, "product_work_key", "left")
-    return with_product_flags(joined)
+        return with_names(rows, names)
+    lookup = product_names(rows, corrections).drop("alternative_names")
+    return with_product_flags(rows.join(lookup, "product_work_key", "left"))
+
+
+def with_names(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """JN-10 for rows that ``prepare_rows`` made."""
+    return with_product_flags(attach(rows, names.drop("alternative_names"), "product_work_key", unique=True))
 
 
 def build_staging(
@@ -315,11 +324,3 @@ def build_staging(
     """The staging table: one row per report row."""
     rows = prepare_rows(raw, spots, sale_types, products=False)
     return clean_products(rows, corrections)
-
-
-def check_sale_types(config: SaleTypes) -> SaleTypes:
-    """A grouped column needs sources, and each code one name at least."""
-    for rule in config.grouped:
-        if not rule.target_column:
-            raise ConfigError("a grouped column has no target")
-    return config

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillweave.operators.materialize import stage
+from tillweave.errors import QualityError
+from tillweave.operators.attach import attach
+from tillweave.operators.materialize import owned_scratch, stage
 from tillweave.plans import costs, dimensions, facts, identity, products, quality, staging
 from tillweave.sources.reference import CalendarNames, SaleTypes, SourceRules
 from tillweave.sources.sinks import read_raw, snapshot, write_raw, write_table
-from tillweave.vocabulary import GROSS, LINEAGE
+from tillweave.vocabulary import GROSS, LINEAGE, RECEIPT_COST, UNIT_COST
 
-SNAPSHOTS = frozenset({"staging", "product_identity", "productcost_daily_lookup"})
+SNAPSHOTS = frozenset(
+    {"staging", "observations", "product_names", "product_candidates", "product_identity", "productcost_daily_lookup"}
+)
 
 
 @dataclass(frozen=True)
@@ -53,15 +58,7 @@ def build_product_model(rows: DataFrame, corrections: DataFrame, rules: SourceRu
 def validate_raw(raw: DataFrame) -> DataFrame:
     """DQ-1, DQ-3, DQ-8 on the raw layer."""
     staging.require_columns(raw, list(LINEAGE), "raw layer")
-    required = [name for name in LINEAGE if name != "source_sheet_clean"]
-    return quality.unite(quality.empty_issue(raw, "raw"), quality.null_counts(raw, required, "raw"))
-
-
-def _check(issues: list[DataFrame], *found: DataFrame) -> None:
-    """Keep the issues of finished checks and stop at errors."""
-    written = stage(quality.unite(*found), "issues")
-    issues.append(written)
-    quality.raise_on_errors(written)
+    return quality.table_issues(raw, "raw", [name for name in LINEAGE if name != "source_sheet_clean"], [])
 
 
 def run_warehouse(
@@ -75,131 +72,155 @@ def run_warehouse(
 ) -> dict[str, DataFrame]:
     """Write the raw layer, the model tables and ``dq_issues`` below ``folder``; return them all by name.
 
-    A broken constraint of severity ``error`` ends the run with ``QualityError`` before the table at fault is
-    used any further. Warnings end up in ``dq_issues``.
+    Tables are built aside and checked there. A broken constraint of severity ``error`` ends the run with
+    ``QualityError`` before any model table is published; ``dq_issues`` is written in full either way. What was
+    written aside is deleted at the end.
     """
+    spark = raw.sparkSession
     issues: list[DataFrame] = []
-    _check(issues, validate_raw(raw))
-    raw = staging.normalize_columns(raw)
-    write_raw(raw, f"{folder}/raw")
-    raw = read_raw(raw, f"{folder}/raw")
+
+    def publish_issues() -> DataFrame:
+        return write_table(quality.unite(*issues), f"{folder}/dq_issues")
+
+    def check(*found: DataFrame) -> None:
+        """Keep the issues of some checks, and stop if one of them is an error."""
+        issues.append(stage(quality.unite(*found), "issues"))
+        try:
+            quality.raise_on_errors(issues[-1])
+        except QualityError:
+            publish_issues()
+            raise
+
+    with owned_scratch(spark):
+        check(validate_raw(raw))
+        raw = staging.normalize_columns(raw)
+        write_raw(raw, f"{folder}/raw")
+        raw = read_raw(raw, f"{folder}/raw")
+        tables, kept = _model_tables(raw, settings, check, snapshot_folder, snapshots)
+        out = {name: write_table(df, f"{folder}/{name}", file_format) for name, df in tables.items()}
+        if file_format == "csv":  # a CSV file has no types: what is returned is the table as it was built
+            out = {name: write_table(df, f"{folder}/typed/{name}") for name, df in tables.items()}
+        out["dq_issues"] = publish_issues()
+        out["product_identity"] = write_table(kept, f"{folder}/product_identity")
+    out["raw"] = raw
+    return out
+
+
+def _model_tables(
+    raw: DataFrame,
+    settings: Settings,
+    check: Callable[..., None],
+    snapshot_folder: str | None,
+    snapshots: frozenset[str],
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The model tables, built aside and checked, and the product identity."""
+
+    def keep(name: str, df: DataFrame) -> None:
+        snapshot(df, name, snapshot_folder, snapshots)
 
     spots = settings.spots
-    dim_spot = dimensions.build_dim_spot(spots)
-    _check(
-        issues,
-        quality.empty_issue(dim_spot, "dim_spot"),
-        quality.null_counts(dim_spot, ["spot_id_raw"], "dim_spot"),
+    dim_spot = stage(dimensions.build_dim_spot(spots), "dim-spot")
+    dim_movement_type = stage(dimensions.build_dim_movement_type(settings.movement_types), "dim-movement-type")
+    check(
+        quality.table_issues(dim_spot, "dim_spot", ["spot_id_raw"], []),
         quality.duplicate_issues(dim_spot, ["spot_id_raw"], "dim_spot"),
-    )
-    dim_movement_type = dimensions.build_dim_movement_type(settings.movement_types)
-    _check(
-        issues,
         quality.empty_issue(dim_movement_type, "dim_movement_type"),
         quality.movement_type_issues(dim_movement_type),
     )
 
-    rows = staging.prepare_rows(raw, None, settings.sale_types)
-    dim_sale_type = dimensions.build_dim_sale_type(rows, settings.sale_types)
+    # The raw rows are parsed once. Everything below reads columns of the prepared table.
+    rows = stage(staging.prepare_rows(raw, None, settings.sale_types), "prepared")
+    dim_sale_type = stage(dimensions.build_dim_sale_type(rows, settings.sale_types), "dim-sale-type")
     model = build_product_model(rows, settings.corrections, settings.source_rules)
-    _check(
-        issues,
+    keep("observations", model.observations)
+    keep("product_names", model.names)
+    keep("product_candidates", model.candidates)
+    keep("product_identity", model.identity)
+    variants = products.variants_from_observations(model.observations, model.names)
+    keyed = attach(variants, model.identity, "product_work_key", unique=True)
+    known_spots = dim_spot.select(F.col("spot_id_raw").cast("string").alias("spot_id_raw"))
+    asked_spots = rows.select(F.coalesce(staging.spot_number(rows).cast("string"), F.col("spot_id_raw").cast("string")).alias("spot_id_raw"))
+    check(
         quality.invalid_issues(rows, "report_date_raw", "report_date", "staging"),
-        quality.unmatched_issues(
-            rows.select(F.col("spot_id_raw").try_cast("int").alias("spot_id_raw")), dim_spot, "spot_id_raw", "staging"
-        ),
+        quality.unmatched_issues(asked_spots, known_spots, "spot_id_raw", "staging"),
+        quality.unmatched_issues(model.observations, model.keys, "product_work_key", "staging"),
         quality.control_mismatch_issues(rows),
         quality.group_conflict_issues(identity.group_conflicts(model.candidates)),
         quality.duplicate_issues(model.identity, ["product_work_key"], "product_identity"),
-        quality.null_counts(model.dim_product, ["product_id", "product_business_key", "product_name"], "dim_product"),
+        quality.table_issues(
+            model.dim_product, "dim_product", ["product_id", "product_business_key", "product_name"], []
+        ),
         quality.duplicate_issues(model.dim_product, ["product_business_key"], "dim_product"),
+        quality.product_type_issues(products.most_frequent_group(keyed)),
     )
 
-    def staged_rows() -> DataFrame:
-        located = staging.prepare_rows(raw, spots, settings.sale_types, products=False)
-        return staging.clean_products(located, settings.corrections, names=model.names)
-
     if snapshot_folder is not None and "staging" in snapshots:
-        snapshot(staged_rows(), "staging", snapshot_folder, snapshots)
-        kept = raw.sparkSession.read.parquet(f"{snapshot_folder}/staging")
-        _check(issues, quality.short_name_issues(quality.short_names(kept)))
-    snapshot(model.identity, "product_identity", snapshot_folder, snapshots)
-
-    out: dict[str, DataFrame] = {}
-
-    def keep(name: str, df: DataFrame) -> DataFrame:
-        out[name] = write_table(df, f"{folder}/{name}", file_format)
-        return out[name]
-
-    dim_date = keep("dim_date", dimensions.build_dim_date(model.observations, settings.calendar_names))
-    _check(
-        issues,
-        quality.empty_issue(dim_date, "dim_date"),
-        quality.null_counts(dim_date, ["month_name", "day_name"], "dim_date"),
-    )
-    keep("dim_spot", dim_spot)
-    keep("dim_sale_type", dim_sale_type)
-    keep("dim_movement_type", dim_movement_type)
-    keep("dim_product", model.dim_product)
-
-    shared = (rows, model.identity, model.dim_product)
-    quantity = keep(
-        "fact_sales_quantity",
-        facts.build_fact_sales_quantity(*shared, dim_sale_type, dim_spot, keys=model.keys),
-    )
-    gross = keep("fact_sales_gross", facts.build_fact_sales_gross(*shared, dim_spot, keys=model.keys))
-    cost = keep("fact_productcost", facts.build_fact_productcost(*shared, keys=model.keys))
-    if snapshot_folder is not None and "productcost_daily_lookup" in snapshots:
-        daily = costs.build_productcost_daily_lookup(cost, dim_date)
-        snapshot(daily, "productcost_daily_lookup", snapshot_folder, snapshots)
+        keep("staging", staging.with_names(staging.map_spots(rows, spots), model.names))
+        written = raw.sparkSession.read.parquet(f"{snapshot_folder}/staging")
+        check(quality.short_name_issues(quality.short_names(written)))
 
-    base = stage(
-        facts.movement_base(*shared, dim_spot, dim_movement_type, keys=model.keys), "movements"
-    )
-    valued = facts.value_movements(base, facts.unit_costs_as_of(base, cost))
-    movement = keep(
-        "fact_inventory_movement",
-        valued.select(
-            "date",
-            "spot_id",
-            "product_id",
-            "movement_type_id",
-            F.col("quantity").cast("double").alias("quantity"),
-            "cost",
-        ),
-    )
+    dim_date = stage(dimensions.build_dim_date(model.observations, settings.calendar_names), "dim-date")
+    check(quality.table_issues(dim_date, "dim_date", ["month_name", "day_name"], []))
 
+    # Keys are looked up once, in one shuffle at most, for all facts.
     sale_columns = facts.present_columns(rows, dim_sale_type, "source_column")
     move_columns = facts.present_columns(rows, dim_movement_type, "movement_type_column")
-    sold = facts.unpivot_measures(rows, ["report_date"], sale_columns, "source_column")
-    moved = facts.unpivot_measures(rows, ["report_date"], move_columns, "movement_type_column")
-    amounts = rows.select(F.col(GROSS).cast("double").alias("amount"))
+    measures = list(dict.fromkeys([*sale_columns, *move_columns, GROSS, UNIT_COST, RECEIPT_COST]))
+    located = stage(facts.resolve_rows(rows, model.keys, dim_spot, measures), "located")
+    shared = (located, None, None)
+    quantity = stage(facts.build_fact_sales_quantity(*shared, dim_sale_type, dim_spot), "fact")
+    gross = stage(facts.build_fact_sales_gross(*shared, dim_spot), "fact")
+    seen = stage(facts.costs_by_product(*shared).distinct(), "costs")
+    cost = stage(facts.highest_costs(seen), "fact")
+    base = stage(facts.movement_base(*shared, dim_spot, dim_movement_type), "movements")
+    valued = stage(facts.value_movements(base, costs.unit_costs_as_of(base, cost)), "valued")
+    movement = valued.select(
+        "date",
+        "spot_id",
+        "product_id",
+        "movement_type_id",
+        F.col("quantity").cast("double").alias("quantity"),
+        "cost",
+    )
+    tables = {
+        "dim_date": dim_date,
+        "dim_spot": dim_spot,
+        "dim_sale_type": dim_sale_type,
+        "dim_movement_type": dim_movement_type,
+        "dim_product": model.dim_product,
+        "fact_sales_quantity": quantity,
+        "fact_sales_gross": gross,
+        "fact_productcost": cost,
+        "fact_inventory_movement": movement,
+    }
+    sold = facts.unpivot_measures(located, ["report_date"], sale_columns, "source_column")
+    moved = facts.unpivot_measures(located, ["report_date"], move_columns, "movement_type_column")
+    amounts = located.select(F.col(GROSS).cast("double").alias("amount"))
+    # Facts are grouped by their grain, so they can't repeat it.
     grains = {
-        "fact_sales_quantity": (quantity, ["date", "spot_id", "product_id", "sale_type_id", "is_heated"], ["quantity"]),
-        "fact_sales_gross": (gross, ["date", "spot_id", "product_id", "is_heated"], ["amount"]),
-        "fact_productcost": (cost, ["date", "product_id"], ["productcost"]),
-        "fact_inventory_movement": (
-            movement,
-            ["date", "spot_id", "product_id", "movement_type_id"],
-            ["quantity", "cost"],
-        ),
+        "fact_sales_quantity": (["date", "spot_id", "product_id", "sale_type_id", "is_heated"], ["quantity"]),
+        "fact_sales_gross": (["date", "spot_id", "product_id", "is_heated"], ["amount"]),
+        "fact_productcost": (["date", "product_id"], ["productcost"]),
+        "fact_inventory_movement": (["date", "spot_id", "product_id", "movement_type_id"], ["quantity", "cost"]),
     }
     checks = [
         quality.conservation_issues(sold, quantity, {"quantity": "quantity"}, "fact_sales_quantity"),
         quality.conservation_issues(amounts, gross, {"amount": "amount"}, "fact_sales_gross"),
         quality.conservation_issues(moved, movement, {"quantity": "quantity"}, "fact_inventory_movement"),
-        quality.cost_conflict_issues(facts.productcost_conflicts(*shared, keys=model.keys)),
+        quality.cost_conflict_issues(facts.conflicting_costs(seen)),
         quality.missing_cost_issues(valued),
     ]
-    for name, (table, grain, measures) in grains.items():
+    checks += [
+        quality.table_issues(tables[name], name, [*grain, *sums], sums, "warning") for name, (grain, sums) in grains.items()
+    ]
+    if snapshot_folder is not None and "productcost_daily_lookup" in snapshots:
+        keep("productcost_daily_lookup", costs.build_productcost_daily_lookup(cost, dim_date))
+        daily = raw.sparkSession.read.parquet(f"{snapshot_folder}/productcost_daily_lookup")
         checks += [
-            quality.empty_issue(table, name, "warning"),
-            quality.null_counts(table, [*grain, *measures], name),
-            quality.duplicate_issues(table, grain, name),
-            quality.negative_counts(table, measures, name),
+            quality.table_issues(
+                daily, "productcost_daily_lookup", ["date", "product_id", "productcost"], ["productcost"], "warning"
+            ),
+            quality.duplicate_issues(daily, ["date", "product_id"], "productcost_daily_lookup"),
         ]
-    _check(issues, *checks)
-    keep("dq_issues", quality.unite(*issues))
-    out["raw"] = raw
-    out["product_identity"] = model.identity
-    return out
+    check(*checks)
+    return tables, model.identity

@@ -6,6 +6,8 @@ an as-of join, and the cleaned cells are stated directly instead of being cleane
 
 from __future__ import annotations
 
+from tillweave.queries.checksums import CHECKSUMS
+
 # Month and day names of the published configuration.
 _MONTHS = "styczeń luty marzec kwiecień maj czerwiec lipiec sierpień wrzesień październik listopad grudzień"
 _DAYS = "poniedziałek wtorek środa czwartek piątek sobota niedziela"
@@ -159,7 +161,7 @@ dimp AS (
            AS normalized_product_name,
          product_type,
          CASE WHEN recipe IS NOT NULL THEN 'INSIDE' WHEN keyword THEN 'OUTSIDE' WHEN pattern AND in_two THEN 'PATTERN'
-              WHEN listed THEN 'LISTED' WHEN in_economy THEN 'GROUPED' ELSE 'Pozostałe' END AS source,
+              WHEN listed THEN 'LISTED' WHEN in_economy THEN 'GROUPED' ELSE 'Unsorted' END AS source,
          all_names.joined AS product_alternative_names
   FROM prod LEFT JOIN types USING (bk) LEFT JOIN all_names USING (bk)
 )"""
@@ -443,17 +445,28 @@ ORACLE: dict[str, str] = {
         {_with(_ROWS)} SELECT 'control_mismatch' AS check_name, 'warning' AS severity, 'staging' AS table_name,
                'sales_total_matches_control' AS key, count(*) AS n
         FROM r WHERE coalesce(suma, 0) <> coalesce(sold, 0) AND coalesce(code_raw, '') NOT IN ('CAT01-X-3-4', 'LARGE-7')""",
-    "warehouse_tables": f"""
-        {_with(*_TO_FACTS, recursive=True)}
-        SELECT 'dim_date' AS table_name, date_diff('day', min(report_date), max(report_date)) + 1 AS n_rows FROM r
-        UNION ALL SELECT 'dim_spot', count(*) FROM spots
-        UNION ALL SELECT 'dim_sale_type', count(DISTINCT CASE WHEN pct = 2 THEN 1 ELSE pct END) FROM r
-        UNION ALL SELECT 'dim_movement_type', 1 + count(DISTINCT flag) FROM r
-        UNION ALL SELECT 'dim_product', count(*) FROM dimp
-        UNION ALL SELECT 'product_identity', count(*) FROM ident
-        UNION ALL SELECT 'fact_sales_quantity', count(DISTINCT (report_date, spot_id, product_id,
-                  CASE pct WHEN 2 THEN 1 ELSE pct END, is_heated)) FROM f WHERE sold <> 0
-        UNION ALL SELECT 'fact_sales_gross', count(DISTINCT (report_date, spot_id, product_id, is_heated)) FROM f
-        UNION ALL SELECT 'fact_productcost', count(*) FROM cost
-        UNION ALL SELECT 'fact_inventory_movement', count(DISTINCT (report_date, spot_id, product_id, flag)) FROM f""",
 }
+
+
+def _warehouse_tables() -> str:
+    """Rows and checksums of the tables, each from its own SQL."""
+    facts = _with(*_TO_FACTS, recursive=True)
+    tables = {
+        "dim_date": f"""{_with(_ROWS)} SELECT CAST(day(d) AS INTEGER) AS day FROM (SELECT unnest(generate_series(
+            CAST(min(report_date) AS TIMESTAMP), CAST(max(report_date) AS TIMESTAMP), INTERVAL 1 DAY)) AS d FROM r)""",
+        "dim_spot": f"{_with(_SPOTS)} SELECT * FROM spots",
+        "dim_sale_type": f"""{_with(_ROWS)} SELECT unnest(generate_series(1, count(DISTINCT CASE WHEN pct = 2 THEN 1 ELSE pct END)))
+            AS sale_type_id FROM r""",
+        "dim_movement_type": f"""{_with(_ROWS)} SELECT unnest(generate_series(1, 1 + count(DISTINCT flag)))
+            AS movement_type_id FROM r""",
+        "dim_product": ORACLE["dim_product"],
+        "product_identity": f"{facts} SELECT product_business_key FROM ident",
+    }
+    tables |= {name: ORACLE[name] for name in CHECKSUMS if name.startswith("fact_")}
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS n_rows, CAST(sum({CHECKSUMS[name]}) AS BIGINT) AS checksum FROM ({sql})"
+        for name, sql in tables.items()
+    )
+
+
+ORACLE["warehouse_tables"] = _warehouse_tables()

@@ -12,7 +12,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillweave.operators.materialize import spread
 from tillweave.plans.staging import prepare_rows
 from tillweave.plans.warehouse import ProductModel, Settings, build_product_model
 from tillweave.sources.reference import (
@@ -62,15 +61,15 @@ CALENDAR = CalendarNames(
     ),
 )
 
-# Settings of these reports, chosen so that every kind of rule and correction applies to some products.
+# Rules and corrections of these reports, one of each kind, on words that the part names and types contain.
 RULES = SourceRules(
-    "Pozostałe",
+    "Unsorted",
     (
-        SourceRule("menu if recipe", 1, "INSIDE", has_recipe_number=True),
-        SourceRule("keyword in code", 2, "OUTSIDE", product_code_contains=("-x-",)),
-        SourceRule("listed name", 3, "LISTED", product_name_in=("Old Rod", "hot ring")),
+        SourceRule("numbered", 1, "INSIDE", has_recipe_number=True),
+        SourceRule("catalogue code", 2, "OUTSIDE", product_code_contains=("-x-",)),
+        SourceRule("named", 3, "LISTED", product_name_in=("Old Rod", "hot ring")),
         SourceRule("a pattern and a group", 3, "PATTERN", product_name_regex=(r"^small .*t$", "^BLUE "), product_group_in=("PROMO", "LARGE")),
-        SourceRule("group without recipe", 4, "GROUPED", has_recipe_number=False, product_group_in=("ECONOMY",)),
+        SourceRule("unnumbered of a group", 4, "GROUPED", has_recipe_number=False, product_group_in=("ECONOMY",)),
     ),
 )
 CORRECTIONS = [
@@ -84,13 +83,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """The driver's tables are single files that can't be split: without this one task would read all of a table."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _comma(number: Column) -> Column:
     return F.translate(number.cast("string"), ".", ",")
 
 
 def report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One wide row per line item; some measures are numbers, some are texts with a decimal comma."""
-    lines = spread(table(spark, sf_dir, "lineitem")).join(
+    lines = _spread(table(spark, sf_dir, "lineitem")).join(
         table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
     )
     line, tax, discount = F.col("l_linenumber"), F.col("l_tax"), F.col("l_discount")

@@ -13,6 +13,7 @@ from tillweave.operators.materialize import scratch_path, stage
 from tillweave.operators.surrogate import assign_ids
 from tillweave.plans import costs, dimensions, facts, identity, products, quality, staging, warehouse
 from tillweave.queries import report as source
+from tillweave.queries.checksums import CHECKSUMS
 from tillweave.queries.report import table
 from tillweave.sources import sinks, workbooks
 from tillweave.sources.reference import Exclusion, SaleTypes
@@ -419,7 +420,7 @@ def product_types(spark: SparkSession, sf: str) -> DataFrame:
     """AGG-7 with the number of groups that products show (DQ-9)."""
     model = source.model(spark, sf)
     variants = products.variants_from_observations(model.observations, model.names)
-    keyed = attach(variants, model.identity, "product_work_key")
+    keyed = attach(variants, model.identity, "product_work_key", unique=True)
     return products.most_frequent_group(keyed)
 
 
@@ -427,7 +428,7 @@ def product_types(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _shared(spark: SparkSession, sf: str) -> tuple[DataFrame, warehouse.ProductModel]:
-    rows = source.rows(spark, sf)
+    rows = stage(source.rows(spark, sf), "rows")
     return rows, warehouse.build_product_model(rows, source.corrections(spark), source.RULES)
 
 
@@ -539,11 +540,11 @@ def movement_cost_issues(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def attach_skewed(spark: SparkSession, sf: str) -> DataFrame:
-    """JN-3..7 beyond the broadcast bound: a third of the lines has one key, which is spread over tasks."""
+    """JN-3..7 beyond the broadcast bound: a third of the lines has one key, which Spark splits if it is large."""
     key = F.when(F.col("l_returnflag") == "R", F.lit(7)).otherwise(F.col("l_suppkey"))
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", key.alias("s_suppkey"))
     suppliers = table(spark, sf, "supplier").select("s_suppkey", "s_name").where("s_nationkey <> 3")
-    bounds = JoinBounds(broadcast_rows=0, rows_per_task=1_000)
+    bounds = JoinBounds(broadcast_rows=0)
     return attach(lines, suppliers, "s_suppkey", bounds=bounds)
 
 
@@ -628,15 +629,18 @@ def dq_control_mismatch(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def warehouse_tables(spark: SparkSession, sf: str) -> DataFrame:
-    """The full run with all checks; number of rows of each table it wrote."""
+    """The full run with all checks: rows and a checksum of each table it wrote."""
     settings = source.settings(spark, sf)
     folder = scratch_path(spark, "warehouse")
     out = warehouse.run_warehouse(
         source.report(spark, sf), settings, folder, snapshot_folder=f"{folder}/snapshots"
     )
-    counts = [
-        df.agg(F.lit(name).alias("table_name"), F.count("*").alias("n_rows"))
-        for name, df in out.items()
-        if name not in ("raw", "dq_issues")
+    sums = [
+        out[name].agg(
+            F.lit(name).alias("table_name"),
+            F.count("*").alias("n_rows"),
+            F.expr(f"CAST(sum({checksum}) AS BIGINT)").alias("checksum"),
+        )
+        for name, checksum in CHECKSUMS.items()
     ]
-    return quality.unite(*counts)
+    return quality.unite(*sums)
