@@ -95,6 +95,7 @@ def work_key(recipe: Column, report_date: Column, code: Column) -> Column:
     return F.when(recipe.isNotNull(), F.concat(F.lit("RECIPE_"), recipe)).otherwise(by_day)
 
 
+# The format of product codes, in the two functions that follow.
 def category_of_code(code: Column) -> Column:
     """``CAT<digits>`` at the start of a code, else empty."""
     return F.regexp_extract(F.upper(strip(code)), r"\A(?:C[_-])?(CAT\p{Nd}+)", 1)

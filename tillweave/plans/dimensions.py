@@ -88,6 +88,7 @@ def invalid_directions(movement_types: DataFrame) -> DataFrame:
 
 def discount_percent(column: str) -> int:
     """STR-14 on a column name."""
+    # Fixed value: the format of discount columns.
     found = re.search(r"(\d+)\s*%", column)
     if found is None:
         raise QualityError(f"cannot read a discount percentage from column {column!r}")

@@ -7,10 +7,10 @@ an as-of join, and the cleaned cells are stated directly instead of being cleane
 from __future__ import annotations
 
 from tillweave.queries.checksums import CHECKSUMS
+from tillweave.queries.report import CALENDAR
 
-# Month and day names of the published configuration.
-_MONTHS = "styczeń luty marzec kwiecień maj czerwiec lipiec sierpień wrzesień październik listopad grudzień"
-_DAYS = "poniedziałek wtorek środa czwartek piątek sobota niedziela"
+_MONTHS = " ".join(CALENDAR.months.values())
+_DAYS = " ".join(CALENDAR.days.values())
 
 # Report rows with their cells as they must come out of cleaning.
 _ROWS = """
@@ -231,7 +231,7 @@ ORACLE: dict[str, str] = {
         SELECT DISTINCT 'report ' || strftime(l_shipdate, '%d.%m.%y') || '.xlsx' AS source_file,
                'Spot#' || l_suppkey AS source_sheet_clean, strftime(l_shipdate, '%d.%m.%y') AS report_date_raw,
                CAST(l_suppkey AS INTEGER) AS spot_id_raw
-        FROM lineitem WHERE l_suppkey IS NOT NULL""",
+        FROM lineitem WHERE l_suppkey IS NOT NULL AND l_orderkey % 2 = 1""",
     "cells_to_columns": f"""
         WITH l AS (SELECT *, CAST(round(l_discount * 100) AS INTEGER) AS pct FROM lineitem)
         SELECT CAST(l_partkey AS VARCHAR) AS code, count(*) AS n_rows,
@@ -425,9 +425,9 @@ ORACLE: dict[str, str] = {
     "dq_duplicates": """
         SELECT CAST(l_shipdate AS DATE) AS date, l_partkey, count(*) AS n_rows FROM lineitem GROUP BY ALL HAVING n_rows > 1""",
     "dq_unmatched": """
-        WITH m AS (SELECT c_custkey, '{"custkey":' || c_custkey || '}' AS key FROM customer
-                   WHERE c_custkey NOT IN (SELECT o_custkey FROM orders))
-        SELECT 'unmatched' AS check_name, 'error' AS severity, 'customer' AS table_name, 'custkey' AS key,
+        WITH m AS (SELECT DISTINCT '{"doc_id":' || doc_id || '}' AS key FROM documents
+                   WHERE doc_id NOT IN (SELECT doc_id FROM labels))
+        SELECT 'unmatched' AS check_name, 'error' AS severity, 'documents' AS table_name, 'doc_id' AS key,
                (SELECT string_agg(key, ', ' ORDER BY key) FROM (SELECT key FROM m ORDER BY key LIMIT 20)) AS detail,
                count(*) AS n FROM m HAVING count(*) > 0""",
     "dq_invalid": "SELECT DISTINCT props FROM events WHERE props IS NOT NULL",
@@ -438,9 +438,20 @@ ORACLE: dict[str, str] = {
     "dq_negative": """
         SELECT 'negative' AS check_name, 'warning' AS severity, 'supplier' AS table_name, 's_acctbal' AS key,
                NULL::VARCHAR AS detail, count(*) AS n FROM supplier WHERE s_acctbal < 0 HAVING count(*) > 0""",
-    "dq_short_names": f"""
-        {_with(*_TO_NAMES)} SELECT work_key AS product_work_key, selected AS product_name_selected FROM names
-        WHERE length(selected) <= 6""",
+    "dq_short_names": """
+        SELECT 'RECIPE_' || n_nationkey AS product_work_key, substr(n_name, 1, 4 + n_nationkey % 5) AS product_name_selected
+        FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 5 <= 2 AND r_name <> 'ASIA'""",
+    "fact_sales_shared_column": f"""
+        {_with(*_TO_FACTS, recursive=True)}
+        SELECT sale_type_id, count(*) AS n_rows, sum(quantity) AS quantity FROM (
+          SELECT report_date, spot_id, product_id, is_heated, sum(sold) AS quantity,
+                 CASE pct WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 2 ELSE pct END AS sale_type_id
+          FROM f WHERE sold <> 0 GROUP BY ALL) GROUP BY ALL""",
+    "dq_product_types": f"""
+        {_with(*_TO_PRODUCTS, recursive=True)}
+        SELECT 'several_product_types' AS check_name, 'warning' AS severity, 'dim_product' AS table_name,
+               'product_business_key' AS key, count(*) AS n FROM types WHERE n_groups > 1 HAVING count(*) > 0""",
+    "reference_tables": f"{_with(_SPOTS)} SELECT * FROM spots",
     "dq_control_mismatch": f"""
         {_with(_ROWS)} SELECT 'control_mismatch' AS check_name, 'warning' AS severity, 'staging' AS table_name,
                'sales_total_matches_control' AS key, count(*) AS n
@@ -469,4 +480,12 @@ def _warehouse_tables() -> str:
     )
 
 
+ORACLE["dq_daily_lookup"] = f"""
+    WITH daily AS ({ORACLE["productcost_daily_lookup"]})
+    SELECT * FROM (
+      SELECT 'nulls' AS check_name, 'error' AS severity, 'productcost_daily_lookup' AS table_name, 'productcost' AS key,
+             count(*) AS n FROM daily WHERE productcost < 950
+      UNION ALL SELECT 'negative', 'warning', 'productcost_daily_lookup', 'productcost', count(*)
+      FROM daily WHERE productcost >= 950
+    ) WHERE n > 0"""
 ORACLE["warehouse_tables"] = _warehouse_tables()

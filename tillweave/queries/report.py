@@ -207,7 +207,7 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = F.create_map(*reduce(lambda flat, pair: [*flat, *pair], pairs, []))
     return table(spark, sf_dir, "lineitem").select(
         F.concat(F.lit("report "), F.date_format("l_shipdate", "dd.MM.yy"), F.lit(".xlsx")).alias("source_file"),
-        F.concat(F.lit(" Spot  # "), "l_suppkey").alias("source_sheet"),
+        F.concat(F.when(F.col("l_orderkey") % 2 == 0, " Spot  # ").otherwise(" Spot  #"), "l_suppkey").alias("source_sheet"),
         F.col("l_suppkey").cast("int").alias("_sheet_ord"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("_row_ord"),
         entries.alias("cells"),

@@ -16,7 +16,7 @@ from tillweave.queries import report as source
 from tillweave.queries.checksums import CHECKSUMS
 from tillweave.queries.report import table
 from tillweave.sources import sinks, workbooks
-from tillweave.sources.reference import Exclusion, SaleTypes
+from tillweave.sources.reference import Exclusion, FixedSaleType, SaleTypes, load_spots
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,9 +34,7 @@ def _query(run: Query) -> Query:
 def file_and_sheet_metadata(spark: SparkSession, sf: str) -> DataFrame:
     """SRC-2, SRC-5..7 on every file and sheet of the reports."""
     sheets = source.cells(spark, sf).select("source_file", "source_sheet").distinct()
-    kept = workbooks.with_lineage(
-        sheets.where(F.translate("source_sheet", " ", "").rlike(r"#\d+")), source.LOADED
-    )
+    kept = workbooks.with_lineage(sheets.where(workbooks.is_eligible(F.col("source_sheet"))), source.LOADED)
     return kept.select("source_file", "source_sheet_clean", "report_date_raw", "spot_id_raw")
 
 
@@ -61,7 +59,7 @@ def union_by_name(spark: SparkSession, sf: str) -> DataFrame:
     """SRC-4: tables with different columns, aligned by name."""
     events = table(spark, sf, "events")
     clicks = events.where("event_type = 'click'").select("event_id", "value")
-    others = events.where("event_type <> 'click'").select("user_id", "event_id", "event_type")
+    others = events.where("coalesce(event_type, '') <> 'click'").select("user_id", "event_id", "event_type")
     return workbooks.union_tables([clicks, others])
 
 
@@ -446,6 +444,56 @@ def fact_sales_quantity(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@_query
+def fact_sales_shared_column(spark: SparkSession, sf: str) -> DataFrame:
+    """JN-6: two sale types of one column; its quantities count once, for the lower id."""
+    grouped = SaleTypes(
+        (*source.SALE_TYPES.fixed[:2], FixedSaleType("Paczki 2", "TWIN", "Paczki 2")),
+        source.SALE_TYPES.grouped,
+        source.SALE_TYPES.control_columns,
+    )
+    rows = stage(staging.prepare_rows(source.report(spark, sf), None, grouped), "rows")
+    model = warehouse.build_product_model(rows, source.corrections(spark), source.RULES)
+    fact = facts.build_fact_sales_quantity(
+        rows,
+        model.identity,
+        model.dim_product,
+        dimensions.build_dim_sale_type(rows, grouped),
+        dimensions.build_dim_spot(source.spots(spark, sf)),
+        keys=model.keys,
+    )
+    return fact.groupBy("sale_type_id").agg(F.count("*").alias("n_rows"), F.sum("quantity").alias("quantity"))
+
+
+@_query
+def dq_product_types(spark: SparkSession, sf: str) -> DataFrame:
+    """DQ-9, LIM-1: products that show several groups."""
+    model = source.model(spark, sf)
+    variants = products.variants_from_observations(model.observations, model.names)
+    keyed = attach(variants, model.identity, "product_work_key", unique=True)
+    return quality.product_type_issues(products.most_frequent_group(keyed)).drop("detail")
+
+
+@_query
+def dq_daily_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """DQ-1, DQ-7 on the daily cost: costs below 950 are made null, the others turned round."""
+    rows, model = _shared(spark, sf)
+    daily = _daily(spark, rows, model)
+    changed = daily.withColumn("productcost", F.when(F.col("productcost") >= 950, -F.col("productcost")))
+    names = ["date", "product_id", "productcost"]
+    return quality.table_issues(changed, "productcost_daily_lookup", names, ["productcost"]).drop("detail")
+
+
+@_query
+def reference_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-8: spots written as one JSON list, as the configuration has it, and loaded again."""
+    folder = scratch_path(spark, "json")
+    spots = source.spots(spark, sf)
+    listed = spots.agg(F.to_json(F.array_sort(F.collect_list(F.struct(*spots.columns)))).alias("value"))
+    listed.write.text(folder)
+    return dimensions.build_dim_spot(load_spots(spark, folder))
+
+
 @_query
 def fact_sales_gross(spark: SparkSession, sf: str) -> DataFrame:
     """FLT-2, JN-3..5, AGG-11."""
@@ -568,10 +616,9 @@ def dq_duplicates(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def dq_unmatched(spark: SparkSession, sf: str) -> DataFrame:
-    """DQ-4, LIM-1: number and first 20 of the customers without orders."""
-    customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("custkey"))
-    orders = table(spark, sf, "orders").select(F.col("o_custkey").alias("custkey")).distinct()
-    return quality.unmatched_issues(customers, orders, "custkey", "customer")
+    """DQ-4, LIM-1: number and first 20 of the documents without a label."""
+    labels = table(spark, sf, "labels").select("doc_id").distinct()
+    return quality.unmatched_issues(table(spark, sf, "documents"), labels, "doc_id", "documents")
 
 
 @_query
@@ -603,12 +650,15 @@ def dq_negative(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def dq_short_names(spark: SparkSession, sf: str) -> DataFrame:
-    """DQ-10, AGG-15: work keys with a short name."""
-    stg = staging.clean_products(
-        staging.prepare_rows(source.report(spark, sf), None, source.SALE_TYPES, products=False),
-        source.corrections(spark),
+    """STR-9, DQ-10, AGG-15: work keys with a short name; nations are the products here, a region is technical."""
+    nations, regions = table(spark, sf, "nation"), table(spark, sf, "region")
+    code = F.when(F.col("r_name") == "ASIA", text.SYSTEM_GROUP).otherwise(F.concat_ws("-", "r_name", "n_nationkey"))
+    name = F.expr("substr(n_name, 1, 4 + n_nationkey % 5)")
+    rows = nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.lit("2024-01-01").cast("date").alias("report_date"), code.alias("Kod roboczy"), name.alias("Nazwa"),
+        F.col("n_nationkey").cast("string").alias("Kod wewnętrzny"),
     )
-    return quality.short_names(stg)
+    return quality.short_names(staging.clean_products(rows, source.corrections(spark)))
 
 
 @_query

@@ -49,6 +49,11 @@ def eligible_sheet(sheet: str) -> bool:
     return re.search(_ELIGIBLE, sheet) is not None
 
 
+def is_eligible(sheet: Column) -> Column:
+    """SRC-2 on a column."""
+    return F.coalesce(sheet.rlike(_ELIGIBLE), F.lit(False))
+
+
 def _column_index(reference: str) -> int:
     index = 0
     for letter in re.match(r"[A-Z]+", reference).group():
@@ -190,6 +195,7 @@ def scan_workbooks(spark: SparkSession, folder: str) -> DataFrame:
 
 def with_file_metadata(df: DataFrame) -> DataFrame:
     """SRC-5: the first ``dd.dd.dd`` of the file name; null where there is none."""
+    # Fixed value: the format of file names.
     found = F.regexp_extract("source_file", r"([0-9]{2}\.[0-9]{2}\.[0-9]{2})", 1)
     return df.withColumn("report_date_raw", F.when(found != "", found))
 
