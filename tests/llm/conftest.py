@@ -2,19 +2,10 @@ from __future__ import annotations
 
 import pytest
 
-from tillweave.session import local_session
-
-
-@pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    session = local_session("tests", "4", **{"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
-    session.sparkContext.setLogLevel("ERROR")
-    yield session
-
 
 @pytest.fixture
 def docs(spark):
-    """Makes a documents table with a clashing extra column from texts."""
+    """Makes a documents table with clashing extra columns from texts."""
 
     def make(texts, ids=None):
         rows = [(i if ids is None else ids[i], t, "x", "s") for i, t in enumerate(texts)]
