@@ -23,6 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ from tillweave.llm.textwords import NON_ALPHANUMERIC, Memo, Words, mix, pieces,
 SIZES = (3, 4, 5, 6)
 SLOTS = 1 << 20
 SAMPLE = 20_000
-FEATURES = 8192
+FEATURES = 2048
 _U = np.uint64
 
 
@@ -96,13 +97,15 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _logistic(text: np.ndarray, feature: np.ndarray, value: np.ndarray, label: np.ndarray, ridge: float) -> tuple[np.ndarray, float]:
     """Ridge logistic regression by accelerated gradient steps; the bias is the last coefficient."""
     n, width = len(label), len(value)
-    scale = value[feature]
+    parts = [slice(at, at + (1 << 19)) for at in range(0, len(text), 1 << 19)]  # bounds what a step holds at once
 
     def margin(w: np.ndarray) -> np.ndarray:
-        return np.bincount(text, scale * w[feature], n) + w[-1]
+        scaled = value * w[:-1]
+        return sum((np.bincount(text[p], scaled[feature[p]], n) for p in parts), np.full(n, w[-1]))
 
     def slope(error: np.ndarray) -> np.ndarray:
-        return np.r_[np.bincount(feature, scale * error[text], width), error.sum()]
+        sums = sum((np.bincount(feature[p], error[text[p]], width) for p in parts), np.zeros(width))
+        return np.r_[value * sums, error.sum()]
 
     v = np.ones(width + 1)
     for _ in range(15):
@@ -171,10 +174,11 @@ def fit(
         held = held.orderBy(F.xxhash64("features"), "label").toArrow()  # at most `sample` rows
     finally:
         rows.unpersist()
-    size = np.array([len(x) for x in held["features"]], np.int64)
-    feature = np.concatenate([x.values.to_numpy() for x in held["features"] if len(x)] or [np.empty(0, np.int32)])
-    of = np.repeat(np.arange(len(size)), size)
-    weight, bias = _logistic(of, feature, model.weights, held["label"].to_numpy().astype(float), ridge)
+    lists = held["features"].combine_chunks()
+    size = pc.list_value_length(lists).to_numpy()
+    feature, label_of = lists.flatten().to_numpy(), held["label"].to_numpy().astype(float)
+    of = np.repeat(np.arange(len(size), dtype=np.int32), size)
+    weight, bias = _logistic(of, feature, model.weights, label_of, ridge)
     return Model(model.slots, model.weights * weight, bias)
 
 
