@@ -57,3 +57,20 @@ def test_without_labels_or_rows(spark, docs):
     model = toxicity.fit(docs(["a b"]), labels)
     assert [r["score"] for r in toxicity.score(docs(["a b", None]), model).collect()] == [0, 0]
     assert toxicity.score(docs([]), model).count() == 0
+
+
+def test_a_wide_toxic_vocabulary_is_learned(spark):
+    rng = random.Random(3)
+    word = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    clean = [word("abcdefgh", 4) for _ in range(40)]
+    toxic = [word("ijklmnopqrstuvwxyz", 9) for _ in range(150)]
+    texts = [" ".join([*rng.choices(clean, k=12), w]) for w in toxic for _ in range(4)]
+    rows = [(i, t, 1) for i, t in enumerate(texts)]
+    rows += [(len(rows) + i, " ".join(rng.choices(clean, k=13)), 0) for i in range(2000)]
+    held = lambda i, y: y == 1 and i % 4 == 3
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows if not held(i, y)], "doc_id long, toxic int")
+    score = {r["doc_id"]: r["score"] for r in toxicity.score(docs, toxicity.fit(docs, labels)).collect()}
+    found = [score[i] >= 0.5 for i, _, y in rows if held(i, y)]
+    assert sum(found) >= 0.95 * len(found)
+    assert not any(score[i] >= 0.5 for i, _, y in rows if y == 0)

@@ -33,7 +33,7 @@ from tillweave.llm.textwords import NON_ALPHANUMERIC, Memo, Words, mix, pieces,
 SIZES = (3, 4, 5, 6)
 SLOTS = 1 << 20
 SAMPLE = 20_000
-FEATURES = 2048
+FEATURES = 8192
 _U = np.uint64
 
 
@@ -166,17 +166,22 @@ def fit(
             for piece in pieces(batches, "text"):
                 words = read_words(piece.column(1), NON_ALPHANUMERIC, lower=True)
                 of, feature = text_features(words, memo, max(len(model.slots), 1))
-                places = np.searchsorted(of, np.arange(piece.num_rows + 1)).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(places), pa.array(feature.astype(np.int32)))
+                places = np.searchsorted(of, np.arange(piece.num_rows + 1))
+                data = feature.astype(number)
+                lists = pa.array([data[a:b].tobytes() for a, b in zip(places, places[1:])], pa.binary())
                 yield pa.RecordBatch.from_arrays([piece.column(0), lists], ["label", "features"])
 
-        held = rows.mapInArrow(vectors, "label int, features array<int>")
+        number = np.dtype("<u2" if len(model.slots) <= 1 << 16 else "<u4")  # halves what the driver holds
+        held = rows.mapInArrow(vectors, "label int, features binary")
         held = held.orderBy(F.xxhash64("features"), "label").toArrow()  # at most `sample` rows
     finally:
         rows.unpersist()
-    lists = held["features"].combine_chunks()
-    size = pc.list_value_length(lists).to_numpy()
-    feature, label_of = lists.flatten().to_numpy(), held["label"].to_numpy().astype(float)
+    lists, label_of = held["features"].combine_chunks(), held["label"].to_numpy().astype(float)
+    del held
+    size = pc.binary_length(lists).to_numpy() // number.itemsize
+    _, places, data = lists.buffers()
+    first, last = np.frombuffer(places, np.int32)[[lists.offset, lists.offset + len(lists)]]
+    feature = np.frombuffer(data, np.uint8)[first:last].view(number) if last > first else np.empty(0, number)
     of = np.repeat(np.arange(len(size), dtype=np.int32), size)
     weight, bias = _logistic(of, feature, model.weights, label_of, ridge)
     return Model(model.slots, model.weights * weight, bias)
