@@ -78,3 +78,14 @@ def test_equals_brute_force(spark):
 def test_empty_table(spark):
     frame = spark.createDataFrame([], "doc_id long, text string, source string")
     assert quality.judge(frame).count() == 0
+
+
+def test_the_limit_is_the_same_for_hosts_of_every_size(spark):
+    footer = "all rights reserved by the owners of this site"
+    words = " ".join(f"w{i}" for i in range(30))
+    rows = [(i, f"{words} {i}" + f"\n{footer}" * (i < 21)) for i in range(21_500)]
+    frame = spark.createDataFrame([(i, t, "hot") for i, t in rows], "doc_id long, text string, source string")
+    small = frame.where("doc_id < 30").selectExpr("doc_id + 100000 as doc_id", "text", "'small' as source")
+    judged = quality.judge(frame.unionByName(small))
+    found = judged.where("n_common_words > 0").select("doc_id").collect()
+    assert sorted(r["doc_id"] for r in found) == [*range(21), *range(100_000, 100_021)]

@@ -1,9 +1,9 @@
 """Quality rules: counts of each text, and lines that too many documents of a host share.
 
 Lines are cut at newlines and normalised (A-Z in lower case, words joined by one space); their hashes are counted once
-per distinct text and host. A line is common on a host if more than ``most_documents`` of its distinct texts have it and
-these are more than ``most_share`` of all its texts. Common lines go; a document is rejected if less than ``least_left``
-of its words are left, or if its own counts fail. Texts that are equal are one document here: copies are left to
+per distinct text and host. A line is common on a host if more than ``most_documents`` of its distinct texts have it,
+however large the host is; with ``most_share`` these must also be more than that share of all its texts. Common lines go;
+a document is rejected if less than ``least_left`` of its words are left, or if its own counts fail. Texts that are equal are one document here: copies are left to
 deduplication and don't make their own lines common.
 
 A null or empty text has zero counts and fails the rule on words. A null host is a host of its own. Repeated rows are
@@ -103,7 +103,7 @@ def judge(
     text: str = "text",
     host: str = "source",
     most_documents: int = 20,
-    most_share: float = 0.001,
+    most_share: float = 0.0,
     least_left: float = 0.5,
 ) -> DataFrame:
     """Counts and verdict of every row; ``common`` are the hashes of its lines to be removed."""
