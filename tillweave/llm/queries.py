@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tillweave.llm.context_mixing import score_texts
 from tillweave.llm.decontamination import decontaminate
+from tillweave.llm.fill_middle import fill_in_middle, restored
 from tillweave.llm.near_copies import near_copies
 from tillweave.llm.packing import pack
 from tillweave.llm.planes import read_ids, write_ids
@@ -187,3 +188,44 @@ def op9_repeated_spans(spark: SparkSession, sf: str) -> DataFrame:
     """What is left of every document without the 35-word windows that occur anywhere else."""
     kept = remove_repeats(table(spark, sf, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query
+def op11_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document cut and rearranged for fill-in-middle training, and what its output is restored to."""
+    done = restored(fill_in_middle(table(spark, sf, "documents")))
+    return done.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+ORACLE["op11_fill_in_middle"] = """
+WITH numbered AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents
+),
+drawn AS (
+  SELECT doc_id, t, n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (n + 1) AS a,
+         CAST('0x' || substr(h, 9, 8) AS BIGINT) % (n + 1) AS b,
+         CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                   OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 90 THEN 'plain'
+              WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM numbered
+),
+parts AS (
+  SELECT *, substr(t, 1, least(a, b)) AS p, substr(t, least(a, b) + 1, abs(a - b)) AS m, substr(t, greatest(a, b) + 1) AS s
+  FROM drawn
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN least(a, b) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN abs(a - b) END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE t END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts"""
