@@ -16,6 +16,7 @@ from tillweave.llm.packing import pack
 from tillweave.llm.planes import read_ids, write_ids
 from tillweave.llm.quality import judge
 from tillweave.llm.repeats import remove_repeats
+from tillweave.llm.term_scan import rank_documents
 from tillweave.llm.token_counts import count_tokens
 from tillweave.llm.toxicity import fit, score
 from tillweave.llm.url_filters import host_of, judge_urls, segments_of
@@ -229,3 +230,43 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN least(a, b) END AS prefix
                         WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE t END) AS output_sha256,
        sha256(t) AS restored_sha256
 FROM parts"""
+
+
+@_query
+def op12_ranked_search(spark: SparkSession, sf: str) -> DataFrame:
+    """The ten documents that suit each benchmark item best by the terms they share."""
+    return rank_documents(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+ORACLE["op12_ranked_search"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+),
+lengths AS (SELECT doc_id, CAST(len(terms) AS BIGINT) AS n FROM d WHERE len(terms) > 0),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+asked AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY item_id, term
+),
+found AS (
+  SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(terms) AS term FROM d)
+  WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term
+),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM found, totals GROUP BY term, docs
+),
+scored AS (
+  SELECT item_id, doc_id,
+         CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // totals.terms)))) AS BIGINT) AS score
+  FROM asked JOIN found USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id), totals
+  GROUP BY item_id, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY rank <= 10"""
