@@ -16,6 +16,7 @@ from tillweave.llm.packing import pack
 from tillweave.llm.planes import read_ids, write_ids
 from tillweave.llm.quality import judge
 from tillweave.llm.repeats import remove_repeats
+from tillweave.llm.source_mix import mix
 from tillweave.llm.term_scan import rank_documents
 from tillweave.llm.token_counts import count_tokens
 from tillweave.llm.toxicity import fit, score
@@ -270,3 +271,44 @@ scored AS (
 SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
 FROM scored WHERE score > 0
 QUALIFY rank <= 10"""
+
+
+@_query
+def op13_source_mix(spark: SparkSession, sf: str) -> DataFrame:
+    """How often a mix of the sources, weighed 5, 2, 1 in turn, takes every document, three times at most."""
+    mixed = mix(table(spark, sf, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+ORACLE["op13_source_mix"] = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents
+),
+sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         CAST([5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS DOUBLE) AS w
+  FROM d GROUP BY source
+),
+ordered AS (
+  SELECT *, sum(source_size) OVER () AS whole, 3 * source_size / w AS closes,
+         coalesce(sum(3 * source_size) OVER (ORDER BY 3 * source_size / w, source NULLS LAST
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS given,
+         sum(w) OVER (ORDER BY 3 * source_size / w, source NULLS LAST
+                      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS share
+  FROM sources
+),
+unit AS (SELECT max(CAST(whole - given AS DOUBLE) / share) AS unit FROM ordered WHERE (whole - given) / share <= closes),
+aims AS (
+  SELECT source, source_size, CASE WHEN unit * w <= 3 * source_size THEN unit * w ELSE 3 * source_size END AS target
+  FROM sources, unit
+),
+numbered AS (
+  SELECT d.*, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+         CAST('0x' || substr(md5('1' || coalesce(':' || d.source, '')), 1, 4) AS BIGINT) / 65536.0 AS start,
+         row_number() OVER (PARTITION BY d.source
+                            ORDER BY size, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15) AS BIGINT), doc_id) AS i
+  FROM d JOIN aims ON d.source IS NOT DISTINCT FROM aims.source
+)
+SELECT doc_id, size, source_size, target, copies * size AS taken, copies
+FROM (SELECT *, CAST(floor(i * rate + CAST(start AS DOUBLE)) - floor((i - 1) * rate + CAST(start AS DOUBLE)) AS BIGINT) AS copies
+      FROM numbered)"""
