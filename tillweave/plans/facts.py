@@ -31,20 +31,30 @@ def spot_keys(dim_spot: DataFrame) -> DataFrame:
 
 
 def resolve_rows(
-    rows: DataFrame, keys: DataFrame, dim_spot: DataFrame, columns: list[str], bounds: JoinBounds = BOUNDS
+    rows: DataFrame,
+    keys: DataFrame,
+    dim_spot: DataFrame,
+    columns: list[str],
+    bounds: JoinBounds = BOUNDS,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """JN-3..5 once for all facts: staging rows with ``spot_id`` and ``product_id`` and the named columns only."""
+    """JN-3..5 once for all facts: staging rows with ``spot_id`` and ``product_id`` and the named columns only.
+
+    ``counts`` (product_work_key, n_rows), as the observations have them, tells which keys are joined with salts.
+    """
     names = ["report_date", "spot_id_raw", "product_work_key", "is_heated"]
     narrow = rows.select(*names, *(quoted(name) for name in columns))
-    return _located(narrow, dim_spot, keys, bounds).drop("spot_id_raw", "product_work_key")
+    return _located(narrow, dim_spot, keys, bounds, counts).drop("spot_id_raw", "product_work_key")
 
 
-def _located(rows: DataFrame, dim_spot: DataFrame, keys: DataFrame | None, bounds: JoinBounds) -> DataFrame:
+def _located(
+    rows: DataFrame, dim_spot: DataFrame, keys: DataFrame | None, bounds: JoinBounds, counts: DataFrame | None = None
+) -> DataFrame:
     """Attach the ids that the rows don't have yet."""
     if "spot_id" not in rows.columns:
         rows = attach(rows, spot_keys(dim_spot), "spot_id_raw", bounds=bounds)
     if "product_id" not in rows.columns:
-        rows = attach(rows, keys, "product_work_key", unique=True, bounds=bounds)
+        rows = attach(rows, keys, "product_work_key", unique=True, bounds=bounds, counts=counts)
     return rows
 
 

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from tillweave.errors import QualityError
 from tillweave.functions import dates, numbers, text
 from tillweave.functions.text import quoted
-from tillweave.operators.attach import attach
+from tillweave.operators.attach import BOUNDS, JoinBounds, attach
+from tillweave.operators.materialize import stage
 from tillweave.sources.reference import SaleTypes
 from tillweave.vocabulary import METRICS, NAME, RECIPE, ROW_ORDER, WORK_CODE
 
@@ -304,7 +305,7 @@ def clean_products(df: DataFrame, corrections: DataFrame, names: DataFrame | Non
     """Product cleaning with the per-key results written back to the rows (JN-10).
 
     ``names`` is a staged result of ``product_names``; without it the join is left to Spark, which drops it altogether
-    where no name column is read. Hot work keys are split by the adaptive skew join either way.
+    where no name column is read.
     """
     rows = df.transform(with_product_cells).transform(clean_product_cells)
     if names is not None:
@@ -313,14 +314,30 @@ def clean_products(df: DataFrame, corrections: DataFrame, names: DataFrame | Non
     return with_product_flags(rows.join(lookup, "product_work_key", "left"))
 
 
-def with_names(rows: DataFrame, names: DataFrame) -> DataFrame:
-    """JN-10 for rows that ``prepare_rows`` made."""
-    return with_product_flags(attach(rows, names.drop("alternative_names"), "product_work_key", unique=True))
+def with_names(rows: DataFrame, names: DataFrame, counts: DataFrame | None = None, bounds: JoinBounds = BOUNDS) -> DataFrame:
+    """JN-10 for rows that ``prepare_rows`` made; ``counts`` (product_work_key, n_rows) tells which keys are hot."""
+    lookup = names.drop("alternative_names")
+    return with_product_flags(attach(rows, lookup, "product_work_key", unique=True, counts=counts, bounds=bounds))
 
 
 def build_staging(
-    raw: DataFrame, spots: DataFrame, sale_types: SaleTypes, corrections: DataFrame
+    raw: DataFrame,
+    spots: DataFrame,
+    sale_types: SaleTypes,
+    corrections: DataFrame,
+    *,
+    names: DataFrame | None = None,
+    bounds: JoinBounds = BOUNDS,
 ) -> DataFrame:
-    """The staging table: one row per report row."""
-    rows = prepare_rows(raw, spots, sale_types, products=False)
-    return clean_products(rows, corrections)
+    """The staging table: one row per report row.
+
+    Product cells are made distinct and counted first; names come from them, or are given, as those of a longer time,
+    and then reduced to the keys at hand. The counts also say which keys are joined with salts.
+    """
+    rows = prepare_rows(raw, spots, sale_types)
+    observations = stage(product_observations(rows), "observations")
+    if names is None:
+        names = product_names(observations, corrections)
+    else:
+        names = names.join(observations.select("product_work_key"), "product_work_key", "left_semi")
+    return with_names(rows, stage(names, "names"), observations.select("product_work_key", "n_rows"), bounds)

@@ -166,7 +166,8 @@ def _model_tables(
     sale_columns = facts.present_columns(rows, dim_sale_type, "source_column")
     move_columns = facts.present_columns(rows, dim_movement_type, "movement_type_column")
     measures = list(dict.fromkeys([*sale_columns, *move_columns, GROSS, UNIT_COST, RECEIPT_COST]))
-    located = stage(facts.resolve_rows(rows, model.keys, dim_spot, measures), "located")
+    counts = model.observations.select("product_work_key", "n_rows")
+    located = stage(facts.resolve_rows(rows, model.keys, dim_spot, measures, counts=counts), "located")
     shared = (located, None, None)
     quantity = stage(facts.build_fact_sales_quantity(*shared, dim_sale_type, dim_spot), "fact")
     gross = stage(facts.build_fact_sales_gross(*shared, dim_spot), "fact")

@@ -321,6 +321,15 @@ ORACLE: dict[str, str] = {
                CAST(sum(len(alternatives)) AS BIGINT) AS n_names, max(selected) AS last_name, coalesce(sum(sold), 0) AS total
         FROM r JOIN names USING (work_key) JOIN spots USING (spot_id_raw) JOIN supplier ON s_suppkey = spot_id_raw
         GROUP BY ALL""",
+    "staging_hot_key": f"""
+        {_with(_ROWS)},
+        h AS (SELECT CASE WHEN flag = 'R' THEN 'NO_DATE_NO_CODE' ELSE work_key END AS work_key,
+                     CASE WHEN flag <> 'R' OR code IS NULL OR name <> code THEN name END AS name FROM r),
+        rolled AS (SELECT work_key, count(*) AS n, first(name ORDER BY length(name) DESC, name) FILTER (name IS NOT NULL) AS selected,
+                          count(DISTINCT name) AS names FROM h GROUP BY work_key)
+        SELECT work_key = 'NO_DATE_NO_CODE' AS is_hot, CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_keys,
+               CAST(sum(n * names) AS BIGINT) AS n_names, max(selected) AS last_name
+        FROM rolled GROUP BY is_hot""",
     "dim_date": f"""
         WITH b AS (SELECT min(o_orderdate) AS lo, max(o_orderdate) AS hi FROM orders),
              d AS (SELECT CAST(unnest(generate_series(CAST(CAST(lo AS DATE) AS TIMESTAMP), CAST(CAST(hi AS DATE) AS TIMESTAMP),

@@ -300,6 +300,27 @@ def staging_table(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@_query
+def staging_hot_key(spark: SparkSession, sf: str) -> DataFrame:
+    """JN-10 by shuffle where a third of the rows has one work key: neither date, code nor recipe."""
+    raw = source.report(spark, sf)
+    known = F.col("Zwrócono").isNull()
+    blanked = {name: F.when(known, F.col(name)) for name in ("Kod roboczy", "Kod wewnętrzny", "report_date_raw")}
+    stg = staging.build_staging(
+        raw.withColumns(blanked),
+        source.spots(spark, sf),
+        source.SALE_TYPES,
+        source.corrections(spark),
+        bounds=JoinBounds(broadcast_rows=0, salt_bytes=0),
+    )
+    return stg.groupBy((F.col("product_work_key") == "NO_DATE_NO_CODE").alias("is_hot")).agg(
+        F.count("*").alias("n_rows"),
+        F.countDistinct("product_work_key").alias("n_keys"),
+        F.sum("product_alternative_names_count").alias("n_names"),
+        F.max("product_name_selected").alias("last_name"),
+    )
+
+
 # --- dimensions ----------------------------------------------------------------------------------------------
 
 
@@ -588,12 +609,11 @@ def movement_cost_issues(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def attach_skewed(spark: SparkSession, sf: str) -> DataFrame:
-    """JN-3..7 beyond the broadcast bound: a third of the lines has one key, which Spark splits if it is large."""
+    """JN-3..7 beyond the broadcast bound: a third of the lines has one key, which is salted."""
     key = F.when(F.col("l_returnflag") == "R", F.lit(7)).otherwise(F.col("l_suppkey"))
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", key.alias("s_suppkey"))
     suppliers = table(spark, sf, "supplier").select("s_suppkey", "s_name").where("s_nationkey <> 3")
-    bounds = JoinBounds(broadcast_rows=0)
-    return attach(lines, suppliers, "s_suppkey", bounds=bounds)
+    return attach(lines, suppliers, "s_suppkey", bounds=JoinBounds(broadcast_rows=0, salt_bytes=0))
 
 
 # --- data quality --------------------------------------------------------------------------------------------
