@@ -11,7 +11,8 @@ from tillweave.queries.spark_side import QUERIES
 TABLES = "region nation customer supplier part orders lineitem events documents labels".split()
 CHECKED = [
     "file_and_sheet_metadata", "union_by_name", "raw_layer", "attach_skewed", "dim_date", "dim_product", "reference_tables",
-    "fact_sales_shared_column", "dq_unmatched", "dq_short_names", "dq_product_types", "dq_daily_lookup", "warehouse_tables",
+    "staging_hot_key", "daily_lookup_by_month", "published_tables", "listed_files", "raw_checks", "watched_facts", "snapshots",
+    "movement_cost_issues", "fact_sales_shared_column", "dq_unmatched", "dq_short_names", "dq_product_types", "dq_daily_lookup", "warehouse_tables",
 ]
 
 

@@ -7,11 +7,13 @@ import os
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tillweave.errors import ConfigError, QualityError
-from tillweave.operators.materialize import scratch_path
+from tillweave.operators.materialize import scratch_path, stage
 from tillweave.plans import quality, warehouse
+from tillweave.plans.facts import movement_cost_issues
 from tillweave.queries import report as source
 from tillweave.sources import reference, sinks
 
@@ -33,6 +35,7 @@ def test_full_run_and_snapshots(spark, sf, small):
     out = warehouse.run_warehouse(small, settings(spark, sf), folder, snapshot_folder=f"{folder}/snapshots")
     assert set(out) == {*MODEL, "dq_issues", "product_identity", "raw"}
     assert all(out[name].count() for name in MODEL)
+    assert {k: v.count() for k, v in sinks.read_published(spark, folder).items()} == {name: out[name].count() for name in MODEL}
     assert out["raw"].count() == small.count()
     for name in warehouse.SNAPSHOTS:
         assert spark.read.parquet(f"{folder}/snapshots/{name}").count()
@@ -52,7 +55,7 @@ def test_an_error_is_written_in_full_and_nothing_is_published(spark, sf, small):
         warehouse.run_warehouse(bad, settings(spark, sf), folder)
     issues = spark.read.parquet(f"{folder}/dq_issues").where("severity = 'error'").collect()
     assert {"unmatched", "invalid"} <= {r["check_name"] for r in issues}
-    assert not any(os.path.exists(f"{folder}/{name}") for name in MODEL)
+    assert not sinks.versions(spark, folder)
 
 
 def test_no_error_is_cut_from_the_exception(spark):
@@ -86,6 +89,54 @@ def test_conservation(spark):
     assert quality.conservation_issues(before, after.limit(0), {"a": "b"}, "t").count() == 1
 
 
+def test_watched_totals_without_a_second_read(spark):
+    rows = spark.range(1_000).selectExpr("id % 7 AS k", "CAST(id - 3 AS DOUBLE) AS x", "IF(id % 100 = 0, NULL, id) AS y")
+
+    def watched(change):
+        watch = quality.Watch("t", {"x": "x"}, ["k", "y"], ["x"])
+        out = watch.after(change(watch.before(rows).groupBy("k").agg(F.sum("x").alias("x"), F.max("y").alias("y"))))
+        return watch, stage(out, "watched")
+
+    watch, written = watched(lambda df: df)
+    before, after = watch.totals(spark.range(0))  # the written table isn't asked
+    assert before["total_0"] == after["total_0"] == sum(range(-3, 997)) and after["n_rows"] == 7
+    assert watch.issues(written).count() == 0
+    watch, written = watched(lambda df: df.where("k > 0").withColumn("x", -F.col("x")).withColumn("y", F.lit(None)))
+    found = {(r["check_name"], r["key"]): r["n"] for r in watch.issues(written).collect()}
+    assert found == {("conservation", "x"): 1, ("nulls", "y"): 6, ("negative", "x"): 6}
+    watch, written = watched(lambda df: df.where("k > 9"))
+    assert {r["check_name"] for r in watch.issues(written).collect()} == {"conservation", "empty"}
+
+
+def test_what_was_observed_twice_is_counted_again(spark):
+    rows = spark.createDataFrame([(1.5,), (2.5,)], "x double")
+    watch = quality.Watch("t", {"x": "x"})
+    written = stage(watch.after(watch.before(rows).agg(F.sum("x").alias("x"))), "watched")
+    watch._before = Observation()
+    stage(rows.union(rows).observe(watch._before, F.sum(F.col("x").cast("decimal(28,8)")).alias("total_0")), "again")
+    assert watch.issues(written).count() == 0
+    assert watch.totals(written)[0]["total_0"] == 4
+
+
+def test_missing_costs_list_their_first_keys(spark):
+    rows = [(f"2024-01-{d:02d}", p, 1 + d % 2, d % 2 == 0, None if p % 3 else 2.0, 1) for d in range(1, 29) for p in range(5)]
+    valued = spark.createDataFrame(rows, "date string, product_id int, movement_type_id int, is_receipt boolean, productcost double, open_rows long")
+    found = {r["issue"]: r for r in movement_cost_issues(valued).collect()}
+    assert {k: r["n_rows"] for k, r in found.items()} == {
+        "receipt_cost_from_unit_cost": 28, "receipt_without_cost": 42, "movement_without_unit_cost": 42,
+    }
+    keys = json.loads(f"[{found['movement_without_unit_cost']['detail']}]")
+    assert len(keys) == 20 and keys[0] == {"date": "2024-01-01", "product_id": 1, "movement_type_id": 2}
+    assert movement_cost_issues(valued.where("open_rows > 1")).count() == 0
+    assert quality.missing_cost_issues(valued).where("detail IS NOT NULL").count() == 3
+
+
+def test_missing_columns_as_issues(spark):
+    found = quality.missing_columns(spark.range(1), ["id", "a", "b"], "t").collect()
+    assert [(r["check_name"], r["key"]) for r in found] == [("missing_column", "a"), ("missing_column", "b")]
+    assert quality.missing_columns(spark.range(1), ["id"], "t").count() == 0
+
+
 def test_csv_tables(spark):
     path = scratch_path(spark, "csv")
     frame = spark.createDataFrame([(1, "é", None), (2, "", True)], "a int, b string, c boolean")
@@ -119,6 +170,14 @@ def test_configuration_files(spark, tmp_path):
     assert reference.load_source_rules(spark, put("rules.json", rules)).rules[0].product_group_in == ("G",)
     fixes = {"name_corrections": {"old": {"canonical_name": "new", "canonical_group": "G", "action": "replace"}}}
     assert [tuple(r) for r in reference.load_name_corrections(spark, put("fixes.json", fixes)).collect()] == [("old", "new", "G", "replace")]
+    listed = tmp_path / "lines"
+    listed.mkdir()
+    for at in range(3):
+        (listed / f"{at}.json").write_text("".join(json.dumps({"spot_id_raw": 10 * at + i, "city": "C"}) + "\n" for i in range(4)))
+    assert reference.load_spots(spark, str(listed), lines=True).count() == 12
+    (listed / "bad.json").write_text('{"spot_id_raw": 1}\nnot an object\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        reference.load_spots(spark, str(listed), lines=True).collect()
     with pytest.raises(ConfigError):
         reference.load_sale_types(spark, put("bad.json", {"fixed_sale_types": []}))
     with pytest.raises(ConfigError):

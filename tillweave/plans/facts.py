@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillweave.errors import QualityError
@@ -15,6 +17,13 @@ from tillweave.plans.staging import require_columns
 from tillweave.vocabulary import GROSS, RECEIPT_COST, RECEIVED, UNIT_COST
 
 
+Seen = Callable[[DataFrame], DataFrame]
+
+
+def as_it_is(rows: DataFrame) -> DataFrame:
+    return rows
+
+
 def product_keys(identity: DataFrame, dim_product: DataFrame) -> DataFrame:
     """JN-3 and JN-4 in one lookup, written once for all facts: work key to product id."""
     require_columns(identity, ["product_work_key", "product_business_key"], "product identity")
@@ -106,8 +115,12 @@ def build_fact_sales_quantity(
     *,
     keys: DataFrame | None = None,
     bounds: JoinBounds = BOUNDS,
+    seen: Seen = as_it_is,
 ) -> DataFrame:
-    """JN-3..6, AGG-10: quantity per date, spot, product, sale type and heating."""
+    """JN-3..6, AGG-10: quantity per date, spot, product, sale type and heating.
+
+    ``seen`` is put around the rows whose ``quantity`` is summed, as ``quality.Watch.before``.
+    """
     base = [*_place(staging), "is_heated"]
     require_columns(staging, base, "fact_sales_quantity staging")
     columns = present_columns(staging, dim_sale_type, "source_column")
@@ -116,6 +129,7 @@ def build_fact_sales_quantity(
     long = unpivot_measures(staging, base, columns, "source_column").withColumn(
         "quantity", measure(F.col("quantity"))
     )
+    long = seen(long)
     keys = _keys_for(staging, identity, dim_product, keys)
     long = _reduced(long, keys, [*base, "source_column"], ["quantity"], bounds)
     # Several codes may share a column; its rows go to the lowest id.
@@ -136,6 +150,7 @@ def build_fact_sales_gross(
     *,
     keys: DataFrame | None = None,
     bounds: JoinBounds = BOUNDS,
+    seen: Seen = as_it_is,
 ) -> DataFrame:
     """FLT-2, JN-3..5, AGG-11: gross amount per date, spot, product and heating."""
     base = [*_place(staging), "is_heated"]
@@ -146,6 +161,7 @@ def build_fact_sales_gross(
         .where((F.col("amount") != 0) & ~F.isnan("amount"))
         .withColumn("amount", measure(F.col("amount")))
     )
+    rows = seen(rows)
     keys = _keys_for(staging, identity, dim_product, keys)
     rows = _reduced(rows, keys, base, ["amount"], bounds)
     fact = _located(rows, dim_spot, keys, bounds)
@@ -217,6 +233,7 @@ def movement_base(
     receipt_column: str = RECEIVED,
     keys: DataFrame | None = None,
     bounds: JoinBounds = BOUNDS,
+    seen: Seen = as_it_is,
 ) -> DataFrame:
     """RSH-2, FLT-1, JN-3..5, JN-7: movements at their final grain, not yet valued.
 
@@ -241,6 +258,7 @@ def movement_base(
         measure(F.when(direct.isNull(), F.col("quantity"))).alias("open_quantity"),
         F.when(direct.isNull(), 1).otherwise(0).cast("long").alias("open_rows"),
     )
+    long = seen(long)
     sums = ["quantity", "direct_cost", "open_quantity", "open_rows"]
     keys = _keys_for(staging, identity, dim_product, keys)
     long = _reduced(long, keys, [*place, "movement_type_column"], sums, bounds)
@@ -306,19 +324,24 @@ def build_fact_inventory_movement(
     )
 
 
-def movement_cost_issues(valued: DataFrame) -> DataFrame:
-    """DQ-10: how many movement rows had to be valued without the cost they should have had."""
+def movement_cost_issues(valued: DataFrame, sample: int = 20) -> DataFrame:
+    """DQ-10, LIM-1: how many movement rows had to be valued without the cost they should have had, and which.
+
+    ``detail`` lists the first days, products and movement types of each kind. Keys are summed first; a task then keeps
+    the first ``sample`` of each kind, so what meets for a kind are ``sample`` rows of each task.
+    """
     missing = F.col("productcost").isNull()
     issue = (
         F.when(F.col("is_receipt") & ~missing, "receipt_cost_from_unit_cost")
         .when(F.col("is_receipt"), "receipt_without_cost")
         .when(missing, "movement_without_unit_cost")
     )
-    return (
-        valued.where("open_rows > 0")
-        .select(issue.alias("issue"), "open_rows")
-        .where("issue IS NOT NULL")
-        .groupBy("issue")
-        .agg(F.sum("open_rows").alias("n_rows"))
-    )
-
+    key = ["date", "product_id", "movement_type_id"]
+    found = valued.where("open_rows > 0").withColumn("issue", issue).where("issue IS NOT NULL")
+    found = stage(found.groupBy("issue", *key).agg(F.sum("open_rows").alias("n_rows")), "open-movements")
+    first = F.row_number().over(Window.partitionBy("issue").orderBy(*key))
+    listed = found.withColumn("place", first).where(F.col("place") <= sample)
+    text = F.to_json(F.struct(*key), {"ignoreNullFields": "false"})
+    listed = listed.groupBy("issue").agg(F.array_sort(F.collect_list(F.struct("place", text.alias("key")))).alias("keys"))
+    totals = found.groupBy("issue").agg(F.sum("n_rows").alias("n_rows"))
+    return totals.join(listed, "issue").select("issue", "n_rows", F.array_join("keys.key", ", ").alias("detail"))

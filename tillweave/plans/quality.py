@@ -6,15 +6,18 @@ A check returns issue rows ``(check_name, severity, table_name, key, detail, n)`
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillweave.errors import QualityError
 from tillweave.functions.numbers import exact_sum
 from tillweave.functions.text import quoted
 from tillweave.operators.materialize import stage
+from tillweave.operators.observed import observed
 from tillweave.plans.dimensions import invalid_directions, missing_parents
 from tillweave.plans.facts import movement_cost_issues
 
@@ -158,6 +161,67 @@ def conservation_issues(
     return _issues(changed, "conservation", "error", table, F.col("measure"), detail, F.lit(1))
 
 
+class Watch:
+    """DQ-1, DQ-6, DQ-7 and DQ-8 of a fact, observed while the plan that writes it runs.
+
+    ``before`` goes around the rows that are summed and ``after`` around the fact; both return what they are given.
+    Once the fact is written, ``totals`` has what passed by. Totals that differ are taken again from the rows: a stage that
+    ran twice, because an executor was lost, is observed twice. So nothing is read again unless the fact seems wrong.
+    """
+
+    def __init__(self, table: str, measures: dict[str, str], nulls: Sequence[str] = (), negatives: Sequence[str] = ()):
+        self.table, self.measures = table, measures
+        self.nulls, self.negatives = list(nulls), list(negatives)
+        self._before, self._after = Observation(), Observation()
+        self._rows: DataFrame | None = None
+
+    def before(self, rows: DataFrame) -> DataFrame:
+        self._rows = rows
+        return rows.observe(self._before, *self._sums(list(self.measures)))
+
+    def after(self, fact: DataFrame) -> DataFrame:
+        return fact.observe(self._after, *self._sums(list(self.measures.values())), *self._counts())
+
+    def _sums(self, names: list[str]) -> list[Column]:
+        return [F.coalesce(exact_sum(quoted(name)), F.lit(0)).alias(f"total_{i}") for i, name in enumerate(names)]
+
+    def _counts(self) -> list[Column]:
+        return [
+            F.count(F.lit(1)).alias("n_rows"),
+            *(F.count_if(quoted(name).isNull()).alias(f"nulls_{i}") for i, name in enumerate(self.nulls)),
+            *(F.count_if(quoted(name) < 0).alias(f"negatives_{i}") for i, name in enumerate(self.negatives)),
+        ]
+
+    def totals(self, written: DataFrame) -> tuple[dict[str, Any], dict[str, Any]]:
+        """Totals of the summed rows, and totals and counts of the fact as ``written``."""
+        before = observed(self._before) if self.measures else {}
+        after = observed(self._after)
+        if after is None:
+            after = written.agg(*self._sums(list(self.measures.values())), *self._counts()).first().asDict()
+        if before is None or any(round(before[f"total_{i}"], 6) != round(after[f"total_{i}"], 6) for i in range(len(self.measures))):
+            before = self._rows.agg(*self._sums(list(self.measures))).first().asDict()
+        return before, after
+
+    def issues(self, written: DataFrame) -> DataFrame:
+        before, after = self.totals(written)
+        found: list[tuple] = []
+        for i, name in enumerate(self.measures):
+            one, other = before[f"total_{i}"], after[f"total_{i}"]
+            if round(one, 6) != round(other, 6):
+                found.append(("conservation", "error", self.table, name, f"{one} -> {other}", 1))
+        found += [("nulls", "error", self.table, name, None, after[f"nulls_{i}"]) for i, name in enumerate(self.nulls)]
+        found += [("negative", "warning", self.table, name, None, after[f"negatives_{i}"]) for i, name in enumerate(self.negatives)]
+        if not after["n_rows"]:
+            found.append(("empty", "warning", self.table, None, None, 1))
+        return written.sparkSession.createDataFrame([row for row in found if row[-1]], ISSUES_SCHEMA)
+
+
+def missing_columns(df: DataFrame, required: Sequence[str], table: str) -> DataFrame:
+    """DQ-3 as issue rows, where the run is not to end at once as with ``staging.require_columns``."""
+    absent = [name for name in required if name not in df.columns]
+    return df.sparkSession.createDataFrame([("missing_column", "error", table, name, None, 1) for name in absent], ISSUES_SCHEMA)
+
+
 def empty_issue(df: DataFrame, table: str, severity: str = "error") -> DataFrame:
     """DQ-8."""
     none = df.limit(1).agg(F.count("*").alias("n")).where("n = 0")
@@ -181,10 +245,10 @@ def cost_conflict_issues(conflicts: DataFrame) -> DataFrame:
 
 
 def missing_cost_issues(valued: DataFrame) -> DataFrame:
-    """DQ-10."""
-    found = movement_cost_issues(valued)
+    """DQ-10, with the first keys of each kind."""
+    found = movement_cost_issues(valued, SAMPLE)
     return _issues(
-        found, "missing_cost", "warning", "fact_inventory_movement", F.col("issue"), F.lit(None), F.col("n_rows")
+        found, "missing_cost", "warning", "fact_inventory_movement", F.col("issue"), F.col("detail"), F.col("n_rows")
     )
 
 

@@ -148,6 +148,10 @@ def enrich_sales_types(df: DataFrame, config: SaleTypes) -> DataFrame:
     )
 
 
+#: The raw product cells of a row.
+CELLS = ("product_code_raw", "product_name_raw", "recipe_number_raw")
+
+
 def with_product_cells(df: DataFrame) -> DataFrame:
     """PRJ-5: the raw product cells under stable names; a missing recipe column is null."""
     require_columns(df, [WORK_CODE, NAME, "report_date"], "product cleaning input")

@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillweave.errors import QualityError
+from tillweave.functions.text import quoted
 from tillweave.operators.attach import attach
 from tillweave.operators.materialize import owned_scratch, stage
 from tillweave.plans import costs, dimensions, facts, identity, products, quality, staging
 from tillweave.sources.reference import CalendarNames, SaleTypes, SourceRules
-from tillweave.sources.sinks import read_raw, snapshot, write_raw, write_table
+from tillweave.sources.sinks import publish, read_raw, snapshot, write_in_order, write_raw, write_table
 from tillweave.vocabulary import GROSS, LINEAGE, RECEIPT_COST, UNIT_COST
 
 SNAPSHOTS = frozenset(
@@ -21,6 +22,23 @@ SNAPSHOTS = frozenset(
 )
 
 
+#: Facts, whose grains are their groups and so can't repeat: what is summed, what is never null, what is never negative.
+WATCHED = {
+    "fact_sales_quantity": (
+        {"quantity": "quantity"},
+        ["date", "spot_id", "product_id", "sale_type_id", "is_heated", "quantity"],
+        ["quantity"],
+    ),
+    "fact_sales_gross": ({"amount": "amount"}, ["date", "spot_id", "product_id", "is_heated", "amount"], ["amount"]),
+    "fact_productcost": ({}, ["date", "product_id", "productcost"], ["productcost"]),
+    "fact_inventory_movement": (
+        {"quantity": "quantity"},
+        ["date", "spot_id", "product_id", "movement_type_id", "quantity", "cost"],
+        ["quantity", "cost"],
+    ),
+}
+
+
 @dataclass(frozen=True)
 class Settings:
     spots: DataFrame
@@ -55,6 +73,12 @@ def build_product_model(rows: DataFrame, corrections: DataFrame, rules: SourceRu
     return ProductModel(observations, names, candidates, resolved, dim_product, keys)
 
 
+def model_columns(rows: DataFrame, measures: list[str]) -> DataFrame:
+    """The columns of prepared rows that product model and facts read. What the others are made of is then not computed."""
+    names = ["report_date", "spot_id_raw", "product_work_key", "is_heated", *staging.CELLS, *staging.row_order(rows)]
+    return rows.select(*(quoted(name) for name in dict.fromkeys([*names, *measures])))
+
+
 def validate_raw(raw: DataFrame) -> DataFrame:
     """DQ-1, DQ-3, DQ-8 on the raw layer."""
     staging.require_columns(raw, list(LINEAGE), "raw layer")
@@ -73,8 +97,9 @@ def run_warehouse(
     """Write the raw layer, the model tables and ``dq_issues`` below ``folder``; return them all by name.
 
     Tables are built aside and checked there. A broken constraint of severity ``error`` ends the run with
-    ``QualityError`` before any model table is published; ``dq_issues`` is written in full either way. What was
-    written aside is deleted at the end.
+    ``QualityError`` before any model table is published; ``dq_issues`` is written in full either way. The model tables
+    are published together, as the next version that ``sinks.read_published`` finds. What was written aside is deleted
+    at the end.
     """
     spark = raw.sparkSession
     issues: list[DataFrame] = []
@@ -97,7 +122,7 @@ def run_warehouse(
         write_raw(raw, f"{folder}/raw")
         raw = read_raw(raw, f"{folder}/raw")
         tables, kept = _model_tables(raw, settings, check, snapshot_folder, snapshots)
-        out = {name: write_table(df, f"{folder}/{name}", file_format) for name, df in tables.items()}
+        out = publish(tables, folder, file_format)
         if file_format == "csv":  # a CSV file has no types: what is returned is the table as it was built
             out = {name: write_table(df, f"{folder}/typed/{name}") for name, df in tables.items()}
         out["dq_issues"] = publish_issues()
@@ -169,12 +194,14 @@ def _model_tables(
     counts = model.observations.select("product_work_key", "n_rows")
     located = stage(facts.resolve_rows(rows, model.keys, dim_spot, measures, counts=counts), "located")
     shared = (located, None, None)
-    quantity = stage(facts.build_fact_sales_quantity(*shared, dim_sale_type, dim_spot), "fact")
-    gross = stage(facts.build_fact_sales_gross(*shared, dim_spot), "fact")
+    watches = {name: quality.Watch(name, *watched) for name, watched in WATCHED.items()}
+    sold, earned, priced, moved = watches.values()
+    quantity = stage(sold.after(facts.build_fact_sales_quantity(*shared, dim_sale_type, dim_spot, seen=sold.before)), "fact")
+    gross = stage(earned.after(facts.build_fact_sales_gross(*shared, dim_spot, seen=earned.before)), "fact")
     seen = stage(facts.costs_by_product(*shared).distinct(), "costs")
-    cost = stage(facts.highest_costs(seen), "fact")
-    base = stage(facts.movement_base(*shared, dim_spot, dim_movement_type), "movements")
-    valued = stage(facts.value_movements(base, costs.unit_costs_as_of(base, cost)), "valued")
+    cost = stage(priced.after(facts.highest_costs(seen)), "fact")
+    base = stage(facts.movement_base(*shared, dim_spot, dim_movement_type, seen=moved.before), "movements")
+    valued = stage(moved.after(facts.value_movements(base, costs.unit_costs_as_of(base, cost))), "valued")
     movement = valued.select(
         "date",
         "spot_id",
@@ -194,29 +221,15 @@ def _model_tables(
         "fact_productcost": cost,
         "fact_inventory_movement": movement,
     }
-    sold = facts.unpivot_measures(located, ["report_date"], sale_columns, "source_column")
-    moved = facts.unpivot_measures(located, ["report_date"], move_columns, "movement_type_column")
-    amounts = located.select(F.col(GROSS).cast("double").alias("amount"))
-    # Facts are grouped by their grain, so they can't repeat it.
-    grains = {
-        "fact_sales_quantity": (["date", "spot_id", "product_id", "sale_type_id", "is_heated"], ["quantity"]),
-        "fact_sales_gross": (["date", "spot_id", "product_id", "is_heated"], ["amount"]),
-        "fact_productcost": (["date", "product_id"], ["productcost"]),
-        "fact_inventory_movement": (["date", "spot_id", "product_id", "movement_type_id"], ["quantity", "cost"]),
-    }
+    written = dict(zip(watches, (quantity, gross, cost, valued), strict=True))
     checks = [
-        quality.conservation_issues(sold, quantity, {"quantity": "quantity"}, "fact_sales_quantity"),
-        quality.conservation_issues(amounts, gross, {"amount": "amount"}, "fact_sales_gross"),
-        quality.conservation_issues(moved, movement, {"quantity": "quantity"}, "fact_inventory_movement"),
+        *(watch.issues(written[name]) for name, watch in watches.items()),
         quality.cost_conflict_issues(facts.conflicting_costs(seen)),
         quality.missing_cost_issues(valued),
     ]
-    checks += [
-        quality.table_issues(tables[name], name, [*grain, *sums], sums, "warning") for name, (grain, sums) in grains.items()
-    ]
     if snapshot_folder is not None and "productcost_daily_lookup" in snapshots:
-        keep("productcost_daily_lookup", costs.build_productcost_daily_lookup(cost, dim_date))
-        daily = raw.sparkSession.read.parquet(f"{snapshot_folder}/productcost_daily_lookup")
+        daily = costs.daily_by_month(cost, dim_date)
+        daily = write_in_order(daily, f"{snapshot_folder}/productcost_daily_lookup", ["product_id", "date"])
         checks += [
             quality.table_issues(
                 daily, "productcost_daily_lookup", ["date", "product_id", "productcost"], ["productcost"], "warning"

@@ -417,8 +417,13 @@ ORACLE: dict[str, str] = {
         {_with(*_TO_FACTS, _VALUED, recursive=True)},
         found AS (SELECT CASE WHEN is_receipt AND productcost IS NOT NULL THEN 'receipt_cost_from_unit_cost'
                   WHEN is_receipt THEN 'receipt_without_cost'
-                  WHEN productcost IS NULL THEN 'movement_without_unit_cost' END AS issue FROM moves WHERE given IS NULL)
-        SELECT issue, count(*) AS n_rows FROM found WHERE issue IS NOT NULL GROUP BY issue""",
+                  WHEN productcost IS NULL THEN 'movement_without_unit_cost' END AS issue, * FROM moves WHERE given IS NULL),
+        keys AS (SELECT issue, date, product_id, movement_type_id, count(*) AS n FROM found WHERE issue IS NOT NULL GROUP BY ALL),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY issue ORDER BY date, product_id, movement_type_id) AS place FROM keys)
+        SELECT issue, CAST(sum(n) AS BIGINT) AS n_rows,
+               string_agg('{{"date":"' || date || '","product_id":' || product_id || ',"movement_type_id":' || movement_type_id || '}}',
+                          ', ' ORDER BY place) FILTER (place <= 20) AS detail
+        FROM placed GROUP BY issue""",
     "attach_skewed": """
         SELECT k AS s_suppkey, l_orderkey, l_linenumber, l_partkey, s_name
         FROM (SELECT *, CASE WHEN l_returnflag = 'R' THEN 7 ELSE l_suppkey END AS k FROM lineitem)
@@ -447,9 +452,40 @@ ORACLE: dict[str, str] = {
     "dq_negative": """
         SELECT 'negative' AS check_name, 'warning' AS severity, 'supplier' AS table_name, 's_acctbal' AS key,
                NULL::VARCHAR AS detail, count(*) AS n FROM supplier WHERE s_acctbal < 0 HAVING count(*) > 0""",
-    "dq_short_names": """
-        SELECT 'RECIPE_' || n_nationkey AS product_work_key, substr(n_name, 1, 4 + n_nationkey % 5) AS product_name_selected
-        FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 5 <= 2 AND r_name <> 'ASIA'""",
+    "dq_short_names": f"""
+        {_with(_ROWS)},
+        h AS (SELECT CASE WHEN recipe IS NOT NULL THEN 'RECIPE_' || recipe
+                          ELSE strftime(report_date, '%d_%m_%y') || '_' || CASE WHEN spot_id_raw % 4 = 0 THEN 'SYSTEM' ELSE coalesce(code, 'NO_CODE') END
+                     END AS work_key, spot_id_raw % 4 = 0 AS technical,
+                     trim(replace(coalesce(CASE WHEN suma IS NULL THEN substr(code_raw, 1, 3 + spot_id_raw % 6) END, code_raw, 'unnamed'), chr(160), ' ')) AS name
+              FROM r),
+        rolled AS (SELECT work_key, first(name ORDER BY length(name) DESC, name) AS selected FROM h GROUP BY work_key)
+        SELECT DISTINCT work_key AS product_work_key, selected AS product_name_selected
+        FROM h JOIN rolled USING (work_key) WHERE NOT technical AND length(selected) <= 6""",
+    "raw_checks": f"""
+        SELECT 'nulls' AS check_name, 'error' AS severity, 'raw' AS table_name, 'report_date_raw' AS key, count(*) AS n
+        FROM lineitem WHERE l_tax = 0.07 HAVING count(*) > 0
+        UNION ALL SELECT 'missing_column', 'error', 'raw', unnest(['source_sheet', 'load_timestamp']), 1
+        UNION ALL SELECT 'empty', 'error', 'raw', NULL, 1 WHERE (SELECT count(*) FROM lineitem WHERE l_suppkey < 0) = 0""",
+    "listed_files": """
+        SELECT CAST(l_shipdate AS DATE) AS report_date, count(*) AS n_rows, count(DISTINCT l_suppkey) AS n_spots,
+               sum(l_quantity) AS quantity
+        FROM lineitem WHERE l_linenumber > 1 GROUP BY 1""",
+    "snapshots": f"""
+        {_with(_ROWS)} SELECT 'observations' AS name, count(*) AS n_rows, count(DISTINCT work_key) AS n_keys FROM r""",
+    "watched_facts": f"""
+        {_with(*_TO_FACTS, recursive=True)},
+        known AS (SELECT f.*, s_nationkey <> 3 AS listed FROM f JOIN supplier ON s_suppkey = spot_id_raw),
+        sold AS (SELECT report_date, CASE WHEN listed THEN spot_id_raw END AS spot, product_id, is_heated, sum(sold) AS total,
+                        CASE pct WHEN 2 THEN 1 ELSE pct END AS kind
+                 FROM known WHERE sold <> 0 GROUP BY ALL),
+        earned AS (SELECT report_date, CASE WHEN listed THEN spot_id_raw END AS spot, product_id, is_heated,
+                          sum(CAST(brutto AS DECIMAL(28, 8))) AS total
+                   FROM known WHERE brutto <> 0 GROUP BY ALL)
+        SELECT 'fact_sales_quantity' AS table_name, CAST(sum(total) AS DOUBLE) AS before, CAST(sum(total) AS DOUBLE) AS after,
+               count(*) AS n_rows, count(*) FILTER (spot IS NULL) AS n_nulls, count(*) FILTER (total < 0) AS n_negatives FROM sold
+        UNION ALL SELECT 'fact_sales_gross', CAST(sum(total) AS DOUBLE), CAST(sum(total) AS DOUBLE), count(*),
+               count(*) FILTER (spot IS NULL), count(*) FILTER (total < 0) FROM earned""",
     "fact_sales_shared_column": f"""
         {_with(*_TO_FACTS, recursive=True)}
         SELECT sale_type_id, count(*) AS n_rows, sum(quantity) AS quantity FROM (
@@ -497,4 +533,13 @@ ORACLE["dq_daily_lookup"] = f"""
       UNION ALL SELECT 'negative', 'warning', 'productcost_daily_lookup', 'productcost', count(*)
       FROM daily WHERE productcost >= 950
     ) WHERE n > 0"""
+ORACLE["daily_lookup_in_order"] = f"""
+    SELECT row_number() OVER (ORDER BY product_id, date) AS position, * FROM ({ORACLE["productcost_daily_lookup"]})"""
+ORACLE["daily_lookup_by_month"] = f"""
+    SELECT strftime(date, '%Y-%m') AS month, count(*) AS n_rows, count(DISTINCT product_id) AS n_products, min(date) AS first_day,
+           CAST(sum(CAST(productcost AS DECIMAL(28, 8))) AS DOUBLE) AS productcost
+    FROM ({ORACLE["productcost_daily_lookup"]}) GROUP BY month"""
+ORACLE["published_tables"] = f"""
+    {_with(_SPOTS)} SELECT 'spots' AS name, count(*) AS n_rows, CAST(sum(spot_id) AS DOUBLE) AS total FROM spots WHERE spot_id % 2 = 0
+    UNION ALL SELECT 'parts', count(*), CAST(sum(CAST(p_retailprice AS DECIMAL(28, 8))) AS DOUBLE) FROM part"""
 ORACLE["warehouse_tables"] = _warehouse_tables()

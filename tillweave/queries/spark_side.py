@@ -17,6 +17,7 @@ from tillweave.queries.checksums import CHECKSUMS
 from tillweave.queries.report import table
 from tillweave.sources import sinks, workbooks
 from tillweave.sources.reference import Exclusion, FixedSaleType, SaleTypes, load_spots
+from tillweave.vocabulary import GROSS, LINEAGE, RECEIPT_COST, UNIT_COST
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -86,6 +87,22 @@ def csv_table(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(dim.schema).csv(path, header=True)
 
 
+@_query
+def published_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-2: two versions of two tables, each version published at once; the newest is read."""
+    folder = scratch_path(spark, "published")
+    spots = dimensions.build_dim_spot(source.spots(spark, sf))
+    parts = table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice")
+    sinks.publish({"spots": spots, "parts": parts.where("p_size <= 25")}, folder)
+    sinks.publish({"spots": spots.where("spot_id % 2 = 0"), "parts": parts}, folder)
+    held = sinks.read_published(spark, folder)
+    counts = [
+        held["spots"].agg(F.lit("spots").alias("name"), F.count("*").alias("n_rows"), F.sum("spot_id").cast("double").alias("total")),
+        held["parts"].agg(F.lit("parts"), F.count("*"), numbers.exact_sum(F.col("p_retailprice")).cast("double")),
+    ]
+    return counts[0].union(counts[1])
+
+
 # --- scalar functions ----------------------------------------------------------------------------------------
 
 
@@ -447,7 +464,11 @@ def product_types(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _shared(spark: SparkSession, sf: str) -> tuple[DataFrame, warehouse.ProductModel]:
-    rows = stage(source.rows(spark, sf), "rows")
+    rows = source.rows(spark, sf)
+    moves = [name for name, *_ in source.MOVEMENT_TYPES if name in rows.columns]
+    sold = [item.source_column for item in source.SALE_TYPES.fixed] + [rule.target_column for rule in source.SALE_TYPES.grouped]
+    measures = [*sold, *staging.percent_columns(rows.columns), *moves, GROSS, UNIT_COST, RECEIPT_COST]
+    rows = stage(warehouse.model_columns(rows, measures), "rows")
     return rows, warehouse.build_product_model(rows, source.corrections(spark), source.RULES)
 
 
@@ -507,12 +528,28 @@ def dq_daily_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def reference_tables(spark: SparkSession, sf: str) -> DataFrame:
-    """SRC-8: spots written as one JSON list, as the configuration has it, and loaded again."""
+    """SRC-8: spots written as files of one JSON object a line, and loaded again by all tasks under their schema."""
     folder = scratch_path(spark, "json")
-    spots = source.spots(spark, sf)
-    listed = spots.agg(F.to_json(F.array_sort(F.collect_list(F.struct(*spots.columns)))).alias("value"))
-    listed.write.text(folder)
-    return dimensions.build_dim_spot(load_spots(spark, folder))
+    source.spots(spark, sf).repartition(4).write.json(folder)
+    return dimensions.build_dim_spot(load_spots(spark, folder, lines=True))
+
+
+@_query
+def listed_files(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-1: files of report rows, of which only those directly in a folder and of one extension are read."""
+    folder = scratch_path(spark, "files")
+    lines = table(spark, sf, "lineitem").select(
+        F.concat_ws(";", F.date_format("l_shipdate", "dd.MM.yy"), "l_suppkey", "l_quantity").alias("value"), "l_linenumber"
+    )
+    lines.where("l_linenumber > 1").select("value").repartition(8).write.text(folder)
+    lines.where("l_linenumber = 1").select("value").write.text(f"{folder}/below")
+    lines.where("l_linenumber = 1").select("value").write.option("compression", "gzip").mode("append").text(folder)
+    listed = workbooks.list_files(spark, folder, "TXT")
+    rows = listed.select(F.explode(F.split(F.col("content").cast("string"), "\n")).alias("line")).where("line <> ''")
+    cells = F.split("line", ";")
+    return rows.groupBy(dates.report_date(cells[0]).alias("report_date")).agg(
+        F.count("*").alias("n_rows"), F.countDistinct(cells[1]).alias("n_spots"), F.sum(cells[2].cast("double")).alias("quantity")
+    )
 
 
 @_query
@@ -551,6 +588,29 @@ def productcost_daily_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return _daily(spark, *_shared(spark, sf))
 
 
+@_query
+def daily_lookup_in_order(spark: SparkSession, sf: str) -> DataFrame:
+    """SRT-3: the daily cost written in the order of product and day, and read back with each row's number there."""
+    daily = _daily(spark, *_shared(spark, sf))
+    return sinks.write_in_order(daily, scratch_path(spark, "in-order"), ["product_id", "date"])
+
+
+@_query
+def daily_lookup_by_month(spark: SparkSession, sf: str) -> DataFrame:
+    """GEN-2, WIN-1: the daily cost made by month, written by month, and summed from the written months."""
+    rows, model = _shared(spark, sf)
+    cost = stage(facts.build_fact_productcost(rows, model.identity, model.dim_product, keys=model.keys), "productcost")
+    days = stage(dimensions.build_dim_date(model.observations, source.CALENDAR), "days")
+    daily = costs.daily_by_month(cost, days)
+    written = sinks.write_by_month(daily, scratch_path(spark, "by-month"), "date", ["product_id", "date"])
+    return written.groupBy("month").agg(
+        F.count("*").alias("n_rows"),
+        F.countDistinct("product_id").alias("n_products"),
+        F.min("date").alias("first_day"),
+        numbers.exact_sum(F.col("productcost")).cast("double").alias("productcost"),
+    )
+
+
 @_query
 def fact_inventory_movement(spark: SparkSession, sf: str) -> DataFrame:
     """RSH-2, FLT-1, JN-3..5, JN-7, JN-8, CASE-2, AGG-12, valued as of the cost events."""
@@ -670,15 +730,60 @@ def dq_negative(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def dq_short_names(spark: SparkSession, sf: str) -> DataFrame:
-    """STR-9, DQ-10, AGG-15: work keys with a short name; nations are the products here, a region is technical."""
-    nations, regions = table(spark, sf, "nation"), table(spark, sf, "region")
-    code = F.when(F.col("r_name") == "ASIA", text.SYSTEM_GROUP).otherwise(F.concat_ws("-", "r_name", "n_nationkey"))
-    name = F.expr("substr(n_name, 1, 4 + n_nationkey % 5)")
-    rows = nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        F.lit("2024-01-01").cast("date").alias("report_date"), code.alias("Kod roboczy"), name.alias("Nazwa"),
-        F.col("n_nationkey").cast("string").alias("Kod wewnętrzny"),
-    )
-    return quality.short_names(staging.clean_products(rows, source.corrections(spark)))
+    """STR-9, DQ-10, AGG-15 on all line items: names cut to a few characters, and products of the technical group."""
+    raw = source.report(spark, sf)
+    short = F.when(F.col("Suma").isNull(), F.expr("substr(`Kod roboczy`, 1, 3 + _sheet_ord % 6)"))
+    code = F.when(F.col("_sheet_ord") % 4 == 0, F.lit(text.SYSTEM_GROUP)).otherwise(F.col("Kod roboczy"))
+    raw = raw.withColumn(" Nazwa  ", F.coalesce(short, F.col("Kod roboczy"), F.lit("unnamed"))).withColumn("Kod roboczy", code)
+    stg = staging.build_staging(raw, source.spots(spark, sf), source.SALE_TYPES, source.corrections(spark))
+    return quality.short_names(stg)
+
+
+@_query
+def raw_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """DQ-1, DQ-3, DQ-8 on the raw rows: with dates missing, without a column, and without rows."""
+    raw = source.report(spark, sf)
+    undated = raw.withColumn("report_date_raw", F.when(F.col("Suma").isNotNull(), F.col("report_date_raw")))
+    without = raw.drop("source_sheet", "load_timestamp")
+    return quality.unite(
+        warehouse.validate_raw(undated),
+        quality.missing_columns(without, LINEAGE, "raw"),
+        warehouse.validate_raw(raw.where("spot_id_raw < 0")),
+    ).select("check_name", "severity", "table_name", "key", "n")
+
+
+@_query
+def watched_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """DQ-1, DQ-6, DQ-7, DQ-8 observed while two facts are written: totals before and after, rows, nulls, negatives."""
+    rows, model = _shared(spark, sf)
+    spots = dimensions.build_dim_spot(source.spots(spark, sf).where("city <> 'NATION_3'"))
+    types = dimensions.build_dim_sale_type(rows, source.SALE_TYPES)
+    sold = quality.Watch("fact_sales_quantity", {"quantity": "quantity"}, ["spot_id"], ["quantity"])
+    earned = quality.Watch("fact_sales_gross", {"amount": "amount"}, ["spot_id"], ["amount"])
+    quantity = facts.build_fact_sales_quantity(
+        rows, model.identity, model.dim_product, types, spots, keys=model.keys, seen=sold.before
+    )
+    gross = facts.build_fact_sales_gross(rows, model.identity, model.dim_product, spots, keys=model.keys, seen=earned.before)
+    found = []
+    for watch, fact in ((sold, quantity), (earned, gross)):
+        before, after = watch.totals(stage(watch.after(fact), "fact"))
+        totals = (float(before["total_0"]), float(after["total_0"]))
+        found.append((watch.table, *totals, after["n_rows"], after["nulls_0"], after["negatives_0"]))
+    return spark.createDataFrame(
+        found, "table_name string, before double, after double, n_rows long, n_nulls long, n_negatives long"
+    )
+
+
+@_query
+def snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-3: of two intermediate tables the one that is asked for is kept."""
+    folder = scratch_path(spark, "snapshots")
+    observed = _observed(spark, sf)
+    asked = frozenset({"observations"})
+    sinks.snapshot(observed, "observations", folder, asked)
+    sinks.snapshot(observed.select("product_work_key"), "product_keys", folder, asked)
+    kept = spark.read.parquet(f"{folder}/*").groupBy(F.element_at(F.split(F.input_file_name(), "/"), -2).alias("name"))
+    return kept.agg(F.sum("n_rows").alias("n_rows"), F.countDistinct("product_work_key").alias("n_keys"))
 
 
 @_query

@@ -96,9 +96,13 @@ class CalendarNames:
             raise ConfigError("month names are numbered 1..12 and day names 1..7")
 
 
-def read_reference(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
-    """A JSON file with a list of objects, or with one object, under a given schema."""
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path, multiLine=True)
+def read_reference(spark: SparkSession, path: str, schema: str | StructType, *, lines: bool = False) -> DataFrame:
+    """A JSON file with a list of objects, or with one object, under a given schema.
+
+    ``lines`` is for large tables: a file or a folder of files with one object a line, which Spark splits among tasks. A
+    text that is no object of the schema ends the job, wherever it is.
+    """
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path, multiLine=not lines)
 
 
 def _single(df: DataFrame, path: str, required: list[str]) -> Row:
@@ -118,12 +122,12 @@ def _filled(item: Row, names: list[str], path: str) -> Row:
     return item
 
 
-def load_spots(spark: SparkSession, path: str) -> DataFrame:
-    return read_reference(spark, path, SPOTS_SCHEMA)
+def load_spots(spark: SparkSession, path: str, *, lines: bool = False) -> DataFrame:
+    return read_reference(spark, path, SPOTS_SCHEMA, lines=lines)
 
 
-def load_movement_types(spark: SparkSession, path: str) -> DataFrame:
-    return read_reference(spark, path, MOVEMENT_TYPES_SCHEMA)
+def load_movement_types(spark: SparkSession, path: str, *, lines: bool = False) -> DataFrame:
+    return read_reference(spark, path, MOVEMENT_TYPES_SCHEMA, lines=lines)
 
 
 def load_name_corrections(spark: SparkSession, path: str) -> DataFrame:

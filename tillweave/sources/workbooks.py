@@ -33,15 +33,15 @@ _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _LINK = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
 
+def list_files(spark: SparkSession, folder: str, extension: str) -> DataFrame:
+    """SRC-1: files directly in the folder with an extension in any case, as ``(source_file, content)``."""
+    anycase = "".join(f"[{x.lower()}{x.upper()}]" if x.isalpha() else x for x in extension)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{anycase}").option("recursiveFileLookup", "false")
+    return files.load(folder).select(F.element_at(F.split("path", "/"), -1).alias("source_file"), "content")
+
+
 def list_workbooks(spark: SparkSession, folder: str) -> DataFrame:
-    """SRC-1: workbooks directly in the folder, as ``(source_file, content)``."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.[xX][lL][sS][xX]")
-        .option("recursiveFileLookup", "false")
-        .load(folder)
-    )
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("source_file"), "content")
+    return list_files(spark, folder, "xlsx")
 
 
 def eligible_sheet(sheet: str) -> bool:
@@ -250,7 +250,11 @@ def union_tables(tables: list[DataFrame]) -> DataFrame:
     return united
 
 
+def extract_cells(cells: DataFrame, load_timestamp: datetime) -> DataFrame:
+    """Rows of cells of eligible sheets as one wide text table with lineage, whatever read them."""
+    return project_cells(with_lineage(cells.where(is_eligible(F.col("source_sheet"))), load_timestamp))
+
+
 def read_reports(spark: SparkSession, folder: str, load_timestamp: datetime) -> DataFrame:
     """All reports of a folder as one wide text table with lineage."""
-    cells = with_lineage(scan_workbooks(spark, folder), load_timestamp)
-    return project_cells(cells)
+    return extract_cells(scan_workbooks(spark, folder), load_timestamp)
