@@ -10,6 +10,7 @@ A null text has no words. A text may be longer than a piece; it is then a piece
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -18,6 +19,7 @@ import pandas as pd
 import pyarrow as pa
 
 PIECE_BYTES = 4 << 20
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 _CHUNK = 1 << 18
 _BASE = 0x9E3779B97F4A7C15 | 1
 _WINDOW_BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
@@ -186,14 +188,25 @@ def read_chunks(texts: pa.Array) -> Words:
 
 def pieces(batches: Iterable[pa.RecordBatch], text: str, most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the texts of each piece hold about ``most`` bytes, or one text."""
-    for batch in batches:
-        column = batch.column(batch.schema.get_field_index(text))
-        _, offsets = flat(column)
-        at = 0
-        while at < len(column):
-            upto = max(int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1, at + 1)
-            yield batch.slice(at, upto - at)
-            at = upto
+    try:
+        for batch in batches:
+            column = batch.column(batch.schema.get_field_index(text))
+            _, offsets = flat(column)
+            at = 0
+            while at < len(column):
+                upto = max(int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1, at + 1)
+                yield batch.slice(at, upto - at)
+                at = upto
+            del batch, column, offsets
+    finally:
+        give_back()
+
+
+def give_back() -> None:
+    """Return what a task has freed to the system: workers wait for other tasks, and would keep it meanwhile."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
 
 
 def segments(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
@@ -226,7 +239,7 @@ class Memo:
     kept only saves time: when ``most`` words are exceeded, it starts anew with the words at hand.
     """
 
-    def __init__(self, compute, most: int = 3 << 19) -> None:
+    def __init__(self, compute, most: int = 1 << 19) -> None:
         self.compute, self.most = compute, most
         self.forget()
 

@@ -1,18 +1,19 @@
 """A linear classifier of toxic texts on character n-grams, scaled by naive Bayes log-count ratios.
 
-Features are the n-grams of 3 to 6 characters of a text's words, a space at either end of a word included, A-Z in lower
+Features are the n-grams of 3 to 8 characters of a text's words, a space at either end of a word included, A-Z in lower
 case, hashed to 2**20 numbers; a text has a feature or hasn't. For each feature the training texts with it are counted
-by label, and the log ratio of its (smoothed) shares is its scale. The features whose counts tell the labels apart
-best, by the chi-squared statistic, are kept, and a logistic regression with a ridge penalty is fitted on the scaled
-features. Scores need the text only.
-
-Fitting uses at most ``sample`` labelled rows (by a hash of the key; a documented bound), whole texts each. The model
-is of fixed size and is broadcast. Scoring reads every text once, without a shuffle; the words of a piece share their
-features through a memo.
-
-Null and empty texts get the score of a text without features. Without labelled rows of both labels every score is 0.
-Labels other than 0 and 1 are ignored; a document with several labels counts with each. Repeated rows are scored alike;
-an empty table gives an empty result. Only the columns named are read.
+by label, and the log ratio of its (smoothed) shares is its scale. Features that ``least`` training texts have and whose
+counts tell the labels apart beyond chance (the chi-squared statistic exceeds ``level``; the default is a chance of
+1 in 1,000) are kept, however many; the others say nothing that the sample could show. A logistic regression with a
+ridge penalty is fitted on the scaled features. Scores need the text only.
+
+Fitting uses at most ``sample`` labelled rows (by a hash of the key; a documented bound), whole texts each; the driver
+holds the numbers of their kept features, a few for each text. The model, of 2**20 features at most, is broadcast.
+Scoring reads every text once, without a shuffle; the words of a piece share their features through a memo.
+
+Null and empty texts get the score of a text without features, very long ones are read whole. Without labelled rows of
+both labels every score is 0. Labels other than 0 and 1 are ignored; a document with several labels counts with each.
+Repeated rows are scored alike; an empty table gives an empty result. Only the columns named are read.
 """
 
 from __future__ import annotations
@@ -29,11 +30,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillweave.llm.textwords import NON_ALPHANUMERIC, Memo, Words, mix, pieces, read_words, window_hashes
+from tillweave.operators.materialize import stage
 
-SIZES = (3, 4, 5, 6)
+SIZES = (3, 4, 5, 6, 7, 8)
 SLOTS = 1 << 20
 SAMPLE = 20_000
-FEATURES = 8192
+LEVEL = 10.83  # of the chi-squared statistic with one degree of freedom
+LEAST = 3
+_PIECE = 1 << 19
+_MEMO = 1 << 19
 _U = np.uint64
 
 
@@ -85,7 +90,7 @@ def text_features(words: Words, memo: Memo, n_features: int) -> tuple[np.ndarray
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     memo = Memo(word_grams, 1 << 17)
     totals = np.zeros((2, SLOTS), np.int64)
-    for piece in pieces(batches, "text", 1 << 20):
+    for piece in pieces(batches, "text", _PIECE):
         text, slot = text_features(read_words(piece.column(1), NON_ALPHANUMERIC, lower=True), memo, SLOTS)
         label = piece.column(0).to_numpy()
         for one in (0, 1):
@@ -132,7 +137,8 @@ def fit(
     label: str = "toxic",
     usable: Column | None = None,
     sample: int = SAMPLE,
-    n_features: int = FEATURES,
+    level: float = LEVEL,
+    least: int = LEAST,
     ridge: float = 1e-4,
 ) -> Model:
     """Fit on the labelled rows; ``usable`` is a condition on the labels' key, for rows that must not be learned."""
@@ -144,38 +150,36 @@ def fit(
     rows = docs.join(F.broadcast(chosen), docs[key] == F.col("_key")).select(
         F.col("_label").alias("label"), F.col(text).alias("text")
     )
-    rows = rows.persist()
-    try:
-        shares = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
-        if len(shares) < 2:
-            return Model(np.empty(0, np.int32), np.empty(0), -np.inf)
-        # Sums over hashed slots: a fixed number of them. What tells the labels apart best is kept.
-        a, c = F.col("n1"), F.col("n0")
-        b, d = shares[1] - a, shares[0] - c
-        chi = F.pow(a * d - b * c, 2) / ((a + b) * (c + d) * (a + c) * (b + d) + 1)
-        counts = rows.mapInArrow(_counts, "slot long, n0 long, n1 long").groupBy("slot")
-        counts = counts.agg(F.sum("n0").cast("double").alias("n0"), F.sum("n1").cast("double").alias("n1"))
-        best = counts.orderBy(chi.desc(), "slot").limit(n_features).toPandas().sort_values("slot")
-        ratio = np.log((best["n1"] + 1) / (best["n1"].sum() + len(best))) - np.log(
-            (best["n0"] + 1) / (best["n0"].sum() + len(best))
-        )
-        model = Model(best["slot"].to_numpy().astype(np.int32), ratio.to_numpy(), 0.0)
-
-        def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            memo = Memo(model.word_features, 1 << 18)
-            for piece in pieces(batches, "text"):
-                words = read_words(piece.column(1), NON_ALPHANUMERIC, lower=True)
-                of, feature = text_features(words, memo, max(len(model.slots), 1))
-                places = np.searchsorted(of, np.arange(piece.num_rows + 1))
-                data = feature.astype(number)
-                lists = pa.array([data[a:b].tobytes() for a, b in zip(places, places[1:])], pa.binary())
-                yield pa.RecordBatch.from_arrays([piece.column(0), lists], ["label", "features"])
-
-        number = np.dtype("<u2" if len(model.slots) <= 1 << 16 else "<u4")  # halves what the driver holds
-        held = rows.mapInArrow(vectors, "label int, features binary")
-        held = held.orderBy(F.xxhash64("features"), "label").toArrow()  # at most `sample` rows
-    finally:
-        rows.unpersist()
+    rows = stage(rows, "labelled")
+    shares = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if len(shares) < 2:
+        return Model(np.empty(0, np.int32), np.empty(0), -np.inf)
+    # Sums over hashed slots: a fixed number of them.
+    a, c = F.col("n1"), F.col("n0")
+    b, d = shares[1] - a, shares[0] - c
+    chi = sum(shares.values()) * F.pow(a * d - b * c, 2) / ((a + b) * (c + d) * (a + c) * (b + d) + 1)
+    counts = rows.mapInArrow(_counts, "slot long, n0 long, n1 long").groupBy("slot")
+    counts = counts.agg(F.sum("n0").cast("double").alias("n0"), F.sum("n1").cast("double").alias("n1"))
+    kept = counts.where((a + c >= least) & (chi > level)).toPandas().sort_values("slot")
+    ratio = np.log((kept["n1"] + 1) / (kept["n1"].sum() + len(kept))) - np.log(
+        (kept["n0"] + 1) / (kept["n0"].sum() + len(kept))
+    )
+    model = Model(kept["slot"].to_numpy().astype(np.int32), ratio.to_numpy(), 0.0)
+    number = np.dtype("<u2" if len(model.slots) <= 1 << 16 else "<u4")
+
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = Memo(model.word_features, 1 << 18)
+        for piece in pieces(batches, "text", _PIECE):
+            words = read_words(piece.column(1), NON_ALPHANUMERIC, lower=True)
+            of, feature = text_features(words, memo, max(len(model.slots), 1))
+            places = np.searchsorted(of, np.arange(piece.num_rows + 1))
+            data = feature.astype(number)
+            lists = pa.array([data[a:b].tobytes() for a, b in zip(places, places[1:])], pa.binary())
+            yield pa.RecordBatch.from_arrays([piece.column(0), lists], ["label", "features"])
+
+    held = rows.mapInArrow(vectors, "label int, features binary").toArrow()  # at most `sample` rows
+    # In an order that depends on nothing but the rows, as the last digits of sums do.
+    held = held.take(pc.sort_indices(held, sort_keys=[("label", "ascending"), ("features", "ascending")]))
     lists, label_of = held["features"].combine_chunks(), held["label"].to_numpy().astype(float)
     del held
     size = pc.binary_length(lists).to_numpy() // number.itemsize
@@ -203,8 +207,8 @@ def score(docs: DataFrame, model: Model, *, key: str = "doc_id", text: str = "te
     shared: Broadcast[Model] = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(shared.value.word_features)
-        for piece in pieces(batches, "text"):
+        memo = Memo(shared.value.word_features, _MEMO)
+        for piece in pieces(batches, "text", 2 * _PIECE):
             found = scores_of(piece.column(at), shared.value, memo)
             yield pa.RecordBatch.from_arrays([*piece.columns[:at], pa.array(found)], [*piece.schema.names[:at], "score"])
 
@@ -218,8 +222,8 @@ def without_toxic(docs: DataFrame, model: Model, *, text: str = "text", threshol
     shared: Broadcast[Model] = docs.sparkSession.sparkContext.broadcast(model)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(shared.value.word_features)
-        for piece in pieces(batches, text):
+        memo = Memo(shared.value.word_features, _MEMO)
+        for piece in pieces(batches, text, 2 * _PIECE):
             found = scores_of(piece.column(piece.schema.get_field_index(text)), shared.value, memo)
             yield piece.filter(pa.array(found < threshold))
 
