@@ -248,3 +248,34 @@ def test_a_word_of_training_is_spelled_once_and_a_new_one_costs_its_letters(spar
     texts = ["north south east west"] * 6 + ["north qj", "north " + "qj" * 40]
     rows = {r["doc_id"]: r["score"] for r in cm.score_texts(docs(texts), training=F.col("doc_id") < 6).collect()}
     assert rows[0] > rows[6] > rows[7]
+
+
+@pytest.mark.parametrize("buckets", [1, 4])
+def test_every_training_occurrence_teaches_the_weights_of_its_bucket(monkeypatch, buckets):
+    coder, rng, given = a_coder(), random.Random(3), []
+    contexts = [(rng.choice([0, 1, 2, 4]), rng.choice([0, 1, 2, 4])) for _ in range(500)]
+    learned = grams_of([(*c, rng.randrange(5), 0, rng.choice([1, 2, 7])) for c in contexts])
+    asked = grams_of([(*c, rng.randrange(5), 1, 1) for c in contexts])
+    plan = a_plan(coder, [(s, 200) for s in range(5)], buckets)
+    fitted = cm.fitted
+    monkeypatch.setattr(cm, "fitted", lambda cells: given.append(cells.sum()) or fitted(cells))
+    dealt = [r for kind, g in ((cm._LEARNED, learned), (cm._HELD, asked)) for r in cm._dealt(plan, g, 0, kind, None).to_pylist()]
+    dealt.sort(key=lambda r: r["bucket"])
+    batch = cm._rows([r["bucket"] for r in dealt], 0, 0, [r["payload"] for r in dealt])
+    kinds = cm.pa.array([r["kind"] for r in dealt], cm.pa.int32())
+    batch = batch.set_column(2, "kind", kinds)
+    costs = [x for out in cm._coster(lambda: plan, lambda: None)(iter([batch])) for x in out.column(2).to_pylist()]
+    assert len(given) == len({r["bucket"] for r in dealt}) and all(x < 0 for x in costs)
+    assert sum(given) == (plan.code.size[learned.symbol] * learned.times).sum()
+
+
+def test_fitted_weights_are_the_likeliest():
+    rng = np.random.default_rng(1)
+    steps = rng.integers(8, 25, (3, 200_000))
+    x, want = steps / 2 - 8, np.array([0.2, 0.5, 0.4])
+    bit = rng.random(200_000) < 1 / (1 + np.exp(-want @ x))
+    cell = (((5 * cm._STEPS + steps[0]) * cm._STEPS + steps[1]) * cm._STEPS + steps[2]) * 2 + bit
+    model = cm.fitted(np.bincount(cell, minlength=cm._GATES * cm._LEVEL).astype(float))
+    assert model.weights[5] == pytest.approx(want, abs=0.02)
+    assert model.weights[6] == pytest.approx([0.6, 0.3, 0.3])
+    assert model.after[5, 22] == pytest.approx(1 / (1 + math.exp(-3)), abs=0.02)

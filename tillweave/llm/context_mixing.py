@@ -1,4 +1,4 @@
-"""Language-model scores by online logistic context mixing, with a unigram score beside them.
+"""Language-model scores by logistic context mixing, with a unigram score beside them.
 
 A text is a sequence of tokens, its words (runs of anything but white space, A-Z in lower case) and an end. Tokens are
 coded as binary decisions: the most frequent words, the end and an escape by a Huffman code of their counts. Three
@@ -16,13 +16,14 @@ each distinct gram is costed once, and what goes back is a sum for each text of
 are salted by the context before it; each bucket with a part of them is given the counts after the context, which are
 summed beforehand. Rows of one pair of contexts are together: at most one of each text and symbol.
 
-Weights and refinement are learned online, a few hundred decisions a step, from the rows of some groups of contexts that
-their hashes choose (``TAUGHT_ROWS`` rows or so, a documented bound; all of them where there are fewer), in one order,
-every training occurrence of theirs counting: a decision is predicted from all occurrences but itself. Each training word
-outside the vocabulary counts once among the spelled ones.
+Weights and refinement are fitted in each bucket of contexts, to every training occurrence in it: a decision is predicted
+from all occurrences but itself, and counted by its gate and its rounded log odds; the weights are those under which
+these counts are likeliest, by Newton's method. All that follows a pair of contexts is in one bucket, so its probabilities
+add up to one. A bucket's counts don't depend on the order of its rows. Each training word outside the vocabulary counts
+once among the spelled ones.
 
 Broadcast are the most frequent words (``VOCABULARY``, of those met twice) with their code, the counts of decisions
-alone, and the weights. The other words of each text meet their counts in a shuffle join.
+alone. The other words of each text meet their counts in a shuffle join.
 
 Null and empty texts are the end alone. Very long texts are scored whole (such a text is a piece of its own). Repeated
 rows are scored alike, and counted each in training. Without training texts every count is 0 and the model is an
@@ -36,7 +37,7 @@ import heapq
 import itertools
 import math
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
@@ -55,15 +56,16 @@ _U = np.uint64
 _END = np.uint64(0x1D8E4E27C47D124F)  # stands for the end among word hashes
 _START = np.uint64(0x3C6EF372FE94F82B)
 _BYTE_NODES = 1 << 16  # (byte before, bits of the byte so far)
-_PART = 512  # decisions of one step of learning
 TAUGHT_ROWS = 1 << 18
 _GATES = 32
 _INPUTS = 3
 _STEPS = 33
+_LEVEL = 2 * _STEPS**_INPUTS  # cells of a gate: the step of each input, and the bit
+_ROUNDS = 12
 _SPELLED = -1  # stands for the checksum of a text where a word is meant
 _GROUP_ROWS = 1 << 18
 _BUCKET_ROWS = 1 << 19
-_CHUNK_ROWS = 1 << 15
+_CHUNK_ROWS = 1 << 14
 
 
 @dataclass
@@ -163,27 +165,6 @@ def _step(odds: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(odds * 2).astype(np.int64) + _STEPS // 2, 0, _STEPS - 1)
 
 
-@dataclass
-class Learner:
-    """Weights by gate, and what happened after mixes of each gate and step (went 0, went 1)."""
-
-    weights: np.ndarray = field(default_factory=lambda: np.tile([0.6, 0.3, 0.3], (_GATES, 1)))
-    seen: np.ndarray = field(default_factory=lambda: np.zeros(_GATES))
-    after: np.ndarray = field(default_factory=lambda: np.zeros((_GATES, _STEPS, 2)))
-
-    def adapt(self, x: np.ndarray, gate: np.ndarray, bits: np.ndarray, times: np.ndarray) -> None:
-        """Predict, and correct weights and refinement by decisions that happened ``times`` times."""
-        odds = _mixed(x, self.weights.astype(_F), gate)
-        error = (bits - 1 / (1 + np.exp(-odds))) * times
-        n = np.bincount(gate, times, _GATES)
-        rate = 0.3 / np.sqrt(1 + self.seen / 100_000)  # a gate's steps shorten with what it has seen
-        for k in range(_INPUTS):
-            self.weights[:, k] += rate * np.bincount(gate, error * x[k], _GATES) / (n + 100)
-        self.seen += n
-        both = np.bincount((gate * _STEPS + _step(odds)) * 2 + bits, times, self.after.size)
-        self.after += both.reshape(self.after.shape)
-
-
 @dataclass
 class Model:
     """What was learned, ready for scoring: weights and refinement."""
@@ -204,6 +185,27 @@ def make_model(weights: np.ndarray, after: np.ndarray) -> Model:
     return Model(weights.astype(_F), own.astype(_F))
 
 
+def fitted(cells: np.ndarray) -> Model:
+    """The model of some cells: how often decisions of each gate, steps of the inputs and bit were seen."""
+    seen = cells.reshape(-1, 2)
+    at = np.flatnonzero(seen.any(axis=1))
+    zeros, ones = seen[at].T
+    gate = at // _STEPS**_INPUTS
+    x = np.stack([at // _STEPS**k % _STEPS for k in reversed(range(_INPUTS))]) / 2 - _STEPS // 2 / 2
+    start = np.tile([0.6, 0.3, 0.3], (_GATES, 1))
+    weights = start.copy()
+    for _ in range(_ROUNDS):
+        p = 1 / (1 + np.exp(-_mixed(x, weights, gate)))
+        error, sure = ones - (zeros + ones) * p, (zeros + ones) * p * (1 - p)
+        # The start counts as much as some decisions do.
+        slope = np.stack([np.bincount(gate, error * a, _GATES) for a in x], 1) - 20 * (weights - start)
+        bend = np.stack([[np.bincount(gate, sure * a * b, _GATES) for a in x] for b in x]).T + 20 * np.eye(_INPUTS)
+        weights += np.clip(np.linalg.solve(bend, slope[:, :, None])[:, :, 0], -0.5, 0.5)
+    place = (gate * _STEPS + _step(_mixed(x, weights, gate))) * 2
+    after = np.bincount(place, zeros, 2 * _GATES * _STEPS) + np.bincount(place + 1, ones, 2 * _GATES * _STEPS)
+    return make_model(weights, after.reshape(_GATES, _STEPS, 2))
+
+
 def tokens(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens, an end after each text's words, and where each text begins (and the end)."""
     n = len(words.first) - 1
@@ -333,9 +335,9 @@ def unpack(payload: bytes, escape: int) -> Grams:
     return Grams(before, words[0], earlier, words[1], symbol, doc, times)
 
 
-def token_grams(hashed: np.ndarray, first: np.ndarray, coder: Coder, keep: Callable | None = None) -> Grams:
+def token_grams(hashed: np.ndarray, first: np.ndarray, coder: Coder) -> Grams:
     """One row of each token of some texts (an end after each), those of equal contexts and symbol of a text as one
-    wherever they meet; ascending by contexts and symbol. ``keep`` may choose places by the contexts."""
+    wherever they meet; ascending by contexts and symbol."""
     n = len(coder.hashes)
     symbol = coder.symbols(hashed)
     codes, words = [symbol], [hashed]
@@ -345,8 +347,6 @@ def token_grams(hashed: np.ndarray, first: np.ndarray, coder: Coder, keep: Calla
         codes.append(code)
         words.append(word)
     rows = Grams(codes[1], words[1], codes[2], words[2], symbol, np.repeat(np.arange(len(first) - 1), np.diff(first)), symbol)
-    if keep is not None:
-        rows = rows.take(keep(rows))
     # 17 bits are enough for a code; the text's own number is compared below.
     key = (rows.before << 47 | rows.earlier << 30 | rows.symbol << 13).view(_U) | (rows.doc & 8191).astype(_U)
     order = np.argsort(key)
@@ -453,7 +453,7 @@ def _pack_words(plan_of: Callable[[], Plan]):
     return packed
 
 
-def _pack_counts(plan_of: Callable[[], Plan], share: int | None):
+def _pack_counts(plan_of: Callable[[], Plan]):
     """Counts of bytes from their table; they belong to no text."""
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -461,12 +461,12 @@ def _pack_counts(plan_of: Callable[[], Plan], share: int | None):
         for batch in batches:
             gram, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             grams = _of_bytes(plan, gram >> 24, gram >> 8 & 0xFFFF, gram & 255, np.zeros(len(gram), np.int64), n)
-            yield _dealt(plan, grams, -1, _LEARNED, share)
+            yield _dealt(plan, grams, -1, _LEARNED, None)
 
     return packed
 
 
-def _pack_own(plan_of: Callable[[], Plan], share: int | None):
+def _pack_own(plan_of: Callable[[], Plan]):
     """The counts after each salted context, once for each bucket that has a part of its rows."""
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -475,28 +475,20 @@ def _pack_own(plan_of: Callable[[], Plan], share: int | None):
             for before, after in zip(batch.column(0).to_numpy(), batch.column(1), strict=True):
                 code = np.array([before])
                 group = mix(plan.keys(code, np.zeros(1, _U)) + np.arange(plan.salts[before]).astype(_U))
-                if share is None:
-                    buckets = np.unique((group >> _U(20)) % _U(plan.buckets)).tolist()
-                else:
-                    buckets = [0] if (group % _U(_EVERY) < _U(share)).any() else []
+                buckets = np.unique((group >> _U(20)) % _U(plan.buckets)).tolist()
                 symbol, n = (after.values.field(i).to_numpy() for i in (0, 1))
                 payload = np.r_[before, symbol, n].astype("<i8").tobytes()
-                payload = zstandard.ZstdCompressor(level=1).compress(payload) if buckets else b""
+                payload = zstandard.ZstdCompressor(level=1).compress(payload)
                 yield _rows(buckets, -1, _OWN, [payload] * len(buckets))
 
     return packed
 
 
-def _survey(plan_of: Callable[[], Plan], share: int):
-    """Counts of symbols after the salted contexts, and packed, the rows that weights are learned from."""
+def _survey(plan_of: Callable[[], Plan]):
+    """Counts of symbols after the salted contexts."""
 
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plan = plan_of()
-
-        def out(pair: np.ndarray, n: np.ndarray, payloads: list) -> pa.RecordBatch:
-            columns = [pa.array(pair.astype(np.int64)), pa.array(n.astype(np.int64)), pa.array(payloads, pa.binary())]
-            return pa.RecordBatch.from_arrays(columns, ["pair", "n", "payload"])
-
         for batch in pieces(batches, "text"):
             hashed, first = tokens(read_words(batch.column(1), lower=True))
             learned = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), np.diff(first))
@@ -505,11 +497,8 @@ def _survey(plan_of: Callable[[], Plan], share: int):
             before[first[:-1]] = plan.escape + 1
             hot = plan.salts[before] > 1
             codes, distinct = pd.factorize(before[hot] << 20 | symbol[hot])
-            yield out(distinct, np.bincount(codes, learned[hot], len(distinct)), [None] * len(distinct))
-            keep = lambda rows: np.flatnonzero(learned)[_chosen(plan, rows.take(learned), share)]  # noqa: B023, E731
-            grams = token_grams(hashed, first, plan.coder, keep)
-            if len(grams.doc):
-                yield out(np.zeros(1), np.zeros(1), [pack(grams, plan.escape)])
+            n = np.bincount(codes, learned[hot], len(distinct)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(distinct.astype(np.int64)), pa.array(n)], ["pair", "n"])
 
     return survey
 
@@ -585,8 +574,8 @@ class Merged:
     own_n: np.ndarray
 
     def decisions(self, code: Code) -> Iterator[tuple[np.ndarray, ...]]:
-        """(first gram, end, row from there, node, bit, went 0 and 1 after some contexts, the place of each decision's
-        ``one`` there, went 0 and 1 after two) of some grams at a time, all those of ``two`` together."""
+        """(first gram, end, row from there, node, bit, bits and went 0 and 1 after some contexts, the place of each
+        decision's ``one`` there, went 0 and 1 after two) of some grams at a time, all those of ``two`` together."""
         at, size = 0, code.size[self.own_symbol]
         ends = np.r_[np.flatnonzero(self.two[1:] != self.two[:-1]) + 1, len(self.two)]
         while at < len(self.two):
@@ -596,13 +585,13 @@ class Merged:
             low = np.searchsorted(self.own_one, ones)
             own = ragged(low, np.searchsorted(self.own_one, ones, "right") - low)
             number = np.cumsum(np.r_[False, self.own_one[own][1:] != self.own_one[own][:-1]])
-            _, _, _, after_own = _after(code, number, self.own_symbol[own], self.own_n[own])
+            _, _, own_bit, after_own = _after(code, number, self.own_symbol[own], self.own_n[own])
             number = np.cumsum(np.r_[False, self.two[at + 1 : upto] != self.two[at : upto - 1]])
             row, node, bit, after_two = _after(code, number, symbol, self.n[at:upto])
             # Each gram's symbol has an own count after its ``one``, with as many decisions.
             place = pd.Index(_pair(self.own_one[own], self.own_symbol[own])).get_indexer(_pair(one, symbol))
             begin = (np.cumsum(size[own]) - size[own])[place]
-            yield at, upto, row, node, bit, after_own, ragged(begin, code.size[symbol]), after_two
+            yield at, upto, row, node, bit, own_bit, after_own, ragged(begin, code.size[symbol]), after_two
             at = upto
 
 
@@ -615,9 +604,8 @@ def _by_contexts(one: np.ndarray, two: np.ndarray) -> np.ndarray:
     return np.lexsort((two, one)) if mingled.any() else order
 
 
-def merged(plan: Plan, parts: list[tuple[int, Grams]], owns: list[np.ndarray], exact: bool) -> tuple[Merged, np.ndarray]:
-    """The grams of some (kind, grams), and of each of their rows the place of its gram; with ``exact`` their order
-    depends on nothing but themselves."""
+def merged(plan: Plan, parts: list[tuple[int, Grams]], owns: list[np.ndarray]) -> tuple[Merged, np.ndarray]:
+    """The grams of some (kind, grams), and of each of their rows the place of its gram."""
     rows = Grams(*(np.concatenate([getattr(g, name) for _, g in parts]) for name in Grams.__annotations__))
     learned = np.repeat([kind == _LEARNED for kind, _ in parts], [len(g.doc) for _, g in parts])
     one = plan.keys(rows.before, rows.before_word)
@@ -627,7 +615,7 @@ def merged(plan: Plan, parts: list[tuple[int, Grams]], owns: list[np.ndarray], e
     sample = np.zeros(len(distinct), np.int64)
     sample[codes] = np.arange(len(codes))
     one, two, symbol, before = one[sample], two[sample], rows.symbol[sample], rows.before[sample]
-    order = np.lexsort((symbol, two, one)) if exact else _by_contexts(one, two)
+    order = _by_contexts(one, two)
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
     cold = np.flatnonzero(plan.salts[before] == 1)
@@ -664,34 +652,24 @@ def _read(plan: Plan, rows: list[tuple]) -> tuple[list[tuple[int, int, Grams]],
     return grams, [np.frombuffer(unzipped(payload), "<i8") for _, kind, payload in rows if kind == _OWN]
 
 
-def _trainer(plan_of: Callable[[], Plan]):
-    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plan, learner = plan_of(), Learner()
-        for rows in _buckets(batches):
-            grams, owns = _read(plan, rows)
-            if not grams:
-                continue
-            all_of, _ = merged(plan, [(kind, g) for _, kind, g in grams], owns, True)
-            for at, upto, row, node, bit, after, place, two in all_of.decisions(plan.code):
-                times = all_of.n[at:upto][row]
-                spelled = (all_of.symbol[at:upto][row] >= plan.symbols).astype(np.int64)
-                own = np.stack([1 - bit, bit]).astype(_F)  # a decision is predicted from all the others
-                one, two = after[:, place] - own, two - own
-                x = np.stack([_odds(plan.first[:, node] - own), _odds(one), _odds(two)])
-                gate = _gate(spelled, _levels(one[0] + one[1]), _levels(two[0] + two[1]))
-                for low in range(0, len(bit), _PART):
-                    part = slice(low, low + _PART)
-                    learner.adapt(x[:, part], gate[part], bit[part], times[part])
-        weights = np.concatenate([learner.weights.ravel(), learner.after.ravel()])
-        yield pa.RecordBatch.from_arrays([pa.array([weights.tolist()], pa.list_(pa.float64()))], ["learned"])
-
-    return train
-
-
-def _coster(plan_of: Callable[[], Plan], model_of: Callable[[], Model]):
+def _without(went: np.ndarray, bit: np.ndarray) -> np.ndarray:
+    """Counts without one occurrence of the decision itself; of those that were not seen in training nothing is asked."""
+    return np.maximum(went - np.stack([1 - bit, bit]).astype(_F), 0)
+
+
+def _alone_cells(plan: Plan) -> np.ndarray:
+    """By twice the node and the bit, what they add to the number of a cell."""
+    bit = np.tile([0, 1], plan.first.shape[1])
+    step = _step(_odds(_without(np.repeat(plan.first, 2, axis=1), bit)))
+    return (2 * _STEPS**2 * step + bit).astype(np.int32)
+
+
+def _coster(plan_of: Callable[[], Plan], model_of: Callable[[], Model | None]):
+    """Costs of the rows of each bucket, by the given model or else by one that is fitted to the bucket."""
+
     def cost(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plan, model = plan_of(), model_of()
-        alone = _odds(plan.first)
+        plan, given = plan_of(), model_of()
+        alone, alone_cells = _odds(plan.first), _alone_cells(plan) if given is None else None
         try:
             for rows in _buckets(batches):
                 for piece, kind, payload in rows:
@@ -699,22 +677,50 @@ def _coster(plan_of: Callable[[], Plan], model_of: Callable[[], Model]):
                         row, again = np.frombuffer(payload, "<i8").reshape(2, -1)
                         yield _costs(np.full(len(row), piece), np.arange(len(row)), np.zeros(len(row)), row, again)
                 grams, owns = _read(plan, rows)
+                rows.clear()
                 if not grams:
                     continue
-                all_of, place = merged(plan, [(kind, g) for _, kind, g in grams], owns, False)
+                all_of, place = merged(plan, [(kind, g) for _, kind, g in grams], owns)
+                grams = [(piece, g.doc, g.times) for piece, _, g in grams]
                 costs = np.zeros(len(all_of.two))
-                for at, upto, row, node, bit, after, there, two in all_of.decisions(plan.code):
-                    spelled = (all_of.symbol[at:upto] >= plan.symbols).astype(np.int64)[row]
-                    x = np.stack([alone[node], _odds(after)[there], _odds(two)])
-                    gate = _gate(spelled, _levels(after[0] + after[1])[there], _levels(two[0] + two[1]))
-                    costs[at:upto] = np.bincount(row, model.mixed_cost(x, gate, bit), upto - at)
+                held, cells = [], np.zeros(_GATES * _LEVEL)
+
+                def priced(model, at, upto, gate, one, two):
+                    symbol = all_of.symbol[at:upto]  # noqa: B023
+                    size = plan.code.size[symbol]
+                    step = plan.code.packed.take(ragged(plan.code.begin[symbol], size))
+                    x, row = np.stack([alone[step >> 33], one, two]), np.repeat(np.arange(upto - at), size)
+                    costs[at:upto] = np.bincount(row, model.mixed_cost(x, gate.astype(np.int64), step & 1), upto - at)  # noqa: B023
+
+                for at, upto, row, node, bit, own_bit, after, there, two in all_of.decisions(plan.code):
+                    spelled = all_of.symbol[at:upto] >= plan.symbols
+                    gate = _gate(spelled.astype(np.uint8)[row], _levels(after[0] + after[1])[there], _levels(two[0] + two[1]))
+                    decided = (at, upto, gate, _odds(after)[there], _odds(two))
+                    if given is not None:
+                        priced(given, *decided)
+                        continue
+                    held.append(decided)
+                    less = _without(after, own_bit)
+                    ones = (_levels(less[0] + less[1]) * np.int32(4 * _LEVEL) + _step(_odds(less)) * (2 * _STEPS)).astype(np.int32)
+                    less = _without(two, bit)
+                    twos = _levels(less[0] + less[1]) * np.int32(_LEVEL) + _step(_odds(less)).astype(np.int32) * 2
+                    cell = (spelled * np.int32(16 * _LEVEL))[row] + ones[there] + twos + alone_cells[node << 1 | bit]
+                    seen = np.bincount(cell, all_of.n[at:upto][row])
+                    some = np.flatnonzero(seen)
+                    cells[some] += seen[some]
+                if held:
+                    model = fitted(cells)
+                    while held:
+                        priced(model, *held.pop())
                 at = 0
-                for piece, _, g in grams:
+                for piece, doc, times in grams:
                     if piece >= 0:
-                        codes, docs = pd.factorize(g.doc)
-                        sums = np.bincount(codes, costs[place[at : at + len(g.doc)]] * g.times, len(docs))
+                        codes, docs = pd.factorize(doc)
+                        sums = np.bincount(codes, costs[place[at : at + len(doc)]] * times, len(docs))
                         yield _costs(np.full(len(docs), piece), docs, sums)
-                    at += len(g.doc)
+                    at += len(doc)
+                del grams, all_of, place, costs, cells
+                give_back()  # a bucket takes much of a worker's memory
         finally:
             give_back()
 
@@ -732,7 +738,7 @@ def _costs(piece, doc, cost, row=None, again=None) -> pa.RecordBatch:
 
 
 def taught_share(rows: int, most: int = TAUGHT_ROWS) -> int:
-    """The part (of ``_EVERY``) of all groups that weights are learned from: about ``most`` rows, or all."""
+    """The part (of ``_EVERY``) of all groups that has about ``most`` rows, or all. No score is made from a part."""
     return _EVERY if rows <= most else max(most * _EVERY // rows, 1)
 
 
@@ -759,10 +765,8 @@ def sequence_costs(rows: DataFrame, words: DataFrame, coder: Coder, n_rows: int,
     salts = np.maximum(-(-seen // min(_GROUP_ROWS, max(n_tokens // 512, 1 << 12))), 1)
     held = context.broadcast(Plan(coder, code, first, salts, max(-(-(n_tokens + n_bytes) // _BUCKET_ROWS), 1)))
     plan = lambda: held.value
-    share = taught_share(coder.total + n_bytes)
-    survey = rows.select("learned", "text").mapInArrow(_survey(plan, share), "pair long, n long, payload binary")
-    survey = stage(survey, "lm_survey")
-    hot = survey.where("payload IS NULL").groupBy("pair").agg(F.sum("n").alias("n"))
+    survey = rows.select("learned", "text").mapInArrow(_survey(plan), "pair long, n long")
+    hot = survey.groupBy("pair").agg(F.sum("n").alias("n"))
     hot = hot.select(F.expr("shiftright(pair, 20)").alias("before"), F.expr("pair & 1048575").alias("symbol"), "n")
     if salts[-1] > 1:
         own = counts.groupBy((pair + len(coder.hashes) + 2).alias("before"), of_bytes).agg(F.sum("n").alias("n"))
@@ -770,22 +774,12 @@ def sequence_costs(rows: DataFrame, words: DataFrame, coder: Coder, n_rows: int,
     # A vocabulary and 2 symbols at most after each.
     hot = stage(hot.groupBy("before").agg(F.collect_list(F.struct("symbol", "n")).alias("after")), "lm_own")
     counts = counts.where("n > 0")
-    chosen = survey.where("payload IS NOT NULL").select(
-        F.lit(0).alias("bucket"), F.lit(-1).cast("long").alias("piece"), F.lit(_LEARNED).alias("kind"), "payload"
-    )
-    chosen = chosen.unionByName(counts.mapInArrow(_pack_counts(plan, share), _ROWS))
-    chosen = chosen.unionByName(hot.mapInArrow(_pack_own(plan, share), _ROWS)).repartition(1)
-    weights, after = Learner().weights, Learner().after
-    for row in chosen.mapInArrow(_trainer(plan), "learned array<double>").collect():  # one row
-        learned = np.array(row["learned"])
-        weights, after = learned[: _GATES * _INPUTS].reshape(_GATES, _INPUTS), learned[_GATES * _INPUTS :].reshape(_GATES, _STEPS, 2)
-    model = context.broadcast(make_model(weights, after))
     dealt = rows.mapInArrow(_pack_texts(plan), _ROWS)
     dealt = dealt.unionByName(words.where("n = 0").select("token", "word").mapInArrow(_pack_words(plan), _ROWS))
-    dealt = dealt.unionByName(counts.mapInArrow(_pack_counts(plan, None), _ROWS))
-    dealt = dealt.unionByName(hot.mapInArrow(_pack_own(plan, None), _ROWS))
+    dealt = dealt.unionByName(counts.mapInArrow(_pack_counts(plan), _ROWS))
+    dealt = dealt.unionByName(hot.mapInArrow(_pack_own(plan), _ROWS))
     dealt = dealt.repartition("bucket").sortWithinPartitions("bucket")
-    costs = dealt.mapInArrow(_coster(plan, lambda: model.value), _COSTS).groupBy("piece", "doc")
+    costs = dealt.mapInArrow(_coster(plan, lambda: None), _COSTS).groupBy("piece", "doc")
     return costs.agg(F.max("row").alias("row"), F.max("again").alias("again"), F.sum("cost").alias("cost")).drop("piece", "doc")
 
 
