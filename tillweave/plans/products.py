@@ -73,7 +73,8 @@ def variants_from_observations(observations: DataFrame, names: DataFrame) -> Dat
         text.split_names(F.col("product_alternative_names")).alias("alternative_names"),
     )
     return (
-        attach(cells, lookup, "product_work_key", unique=True)
+        # How observations spread over keys tells enough, and spares the sums of the cells a second time.
+        attach(cells, lookup, "product_work_key", unique=True, counts=observations.select("product_work_key", F.lit(1).alias("n_rows")))
         .withColumn("product_group_final", F.coalesce("product_canonical_group", "product_group_fallback"))
         .drop("product_canonical_group", "product_group_fallback")
     )
