@@ -1,7 +1,8 @@
 """Many-to-one left joins (JN-1..7, JN-9, JN-10).
 
 A join never multiplies rows: a lookup that may repeat its key is reduced to its smallest row per key first. The lookup is
-broadcast only after its rows and bytes were counted against a bound. Beyond the bound both sides are shuffled, and a
+broadcast only after its rows and bytes were counted against a bound. Beyond the bound both sides are shuffled; rows are
+not sorted where a task's share of the lookup keeps within the bound, but looked up in a table of that share. A
 key that holds more rows than a task should have is salted: its rows are dealt over as many numbers as it fills
 shares of a task, and its one lookup row is repeated for each of them. How often a key occurs comes from counts that the
 caller has, or from one count by key with a partial step before its shuffle.
@@ -41,13 +42,22 @@ def _bytes(name: str, kind: DataType) -> Column:
     return F.lit(16)
 
 
-def fits_broadcast(lookup: DataFrame, bounds: JoinBounds = BOUNDS) -> bool:
-    """Count the rows and bytes of the lookup, by all tasks."""
+def measured(lookup: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of the lookup, counted by all tasks."""
     each = reduce(lambda a, b: a + b, (_bytes(item.name, item.dataType) for item in lookup.schema.fields))
-    rows, size = lookup.agg(F.count("*"), F.coalesce(F.sum(each), F.lit(0))).first()
+    return tuple(lookup.agg(F.count("*"), F.coalesce(F.sum(each), F.lit(0))).first())
+
+
+def fits_broadcast(lookup: DataFrame, bounds: JoinBounds = BOUNDS) -> bool:
+    rows, size = measured(lookup)
     return rows <= bounds.broadcast_rows and size <= bounds.broadcast_bytes
 
 
+def shuffle_hint(size: int, tasks: int, bounds: JoinBounds = BOUNDS) -> str:
+    """How to join by shuffle with a unique lookup of ``size`` bytes, which hashing deals evenly over the tasks."""
+    return "shuffle_hash" if size <= bounds.broadcast_bytes * tasks else "shuffle_merge"
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Spark's estimate from file sizes, for choices that change no result."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
@@ -78,7 +88,9 @@ def hot_keys(counts: DataFrame, keys: list[str], tasks: int, shares: int) -> Dat
     return counts.sparkSession.createDataFrame(hot, StructType([*kinds, StructField("_salts", IntegerType())])) if hot else None
 
 
-def salted_join(rows: DataFrame, lookup: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
+def salted_join(
+    rows: DataFrame, lookup: DataFrame, keys: list[str], hot: DataFrame, hint: str = "shuffle_merge"
+) -> DataFrame:
     """Left join by shuffle of a unique lookup, keys of ``hot`` dealt over their salts."""
     marks = F.broadcast(hot.select(*(F.col(name).alias(f"_hot{i}") for i, name in enumerate(keys)), "_salts"))
 
@@ -91,7 +103,7 @@ def salted_join(rows: DataFrame, lookup: DataFrame, keys: list[str], hot: DataFr
     right = marked(lookup)
     each = F.sequence(F.lit(0), F.coalesce(F.col("_salts") - 1, F.lit(0)))
     right = right.withColumn("_salt", F.explode(each)).drop("_salts")
-    return left.drop("_salts").join(right.hint("shuffle_merge"), [*keys, "_salt"], "left").drop("_salt")
+    return left.drop("_salts").join(right.hint(hint), [*keys, "_salt"], "left").drop("_salt")
 
 
 def attach(
@@ -111,13 +123,15 @@ def attach(
     """
     keys = [on] if isinstance(on, str) else list(on)
     lookup = lookup if unique else one_per_key(lookup, keys)
-    if fits_broadcast(lookup, bounds):
+    n_rows, size = measured(lookup)
+    if n_rows <= bounds.broadcast_rows and size <= bounds.broadcast_bytes:
         return rows.join(F.broadcast(lookup), keys, "left")
-    plain = rows.join(lookup.hint("shuffle_merge"), keys, "left")
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hint = shuffle_hint(size, tasks, bounds)
+    plain = rows.join(lookup.hint(hint), keys, "left")
     if estimated_bytes(rows) < bounds.salt_bytes:
         return plain
     if counts is None:
         counts = rows.groupBy(*keys).agg(F.count("*").alias("n_rows"))
-    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = hot_keys(counts, keys, tasks, bounds.shares)
-    return plain if hot is None else salted_join(rows, lookup, keys, hot)
+    return plain if hot is None else salted_join(rows, lookup, keys, hot, hint)
