@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -279,3 +280,43 @@ def test_fitted_weights_are_the_likeliest():
     assert model.weights[5] == pytest.approx(want, abs=0.02)
     assert model.weights[6] == pytest.approx([0.6, 0.3, 0.3])
     assert model.after[5, 22] == pytest.approx(1 / (1 + math.exp(-3)), abs=0.02)
+
+
+def test_a_bucket_is_costed_in_bounded_memory():
+    rng, coder = np.random.default_rng(4), cm.make_coder(np.arange(1, 4001, dtype=np.uint64), np.arange(4000, 0, -1), 9_000_000, 100)
+    size, none = 200_000, np.zeros(200_000, np.uint64)
+    before, earlier, symbol = (rng.integers(0, 4000, size) for _ in range(3))
+    plan = a_plan(coder, [(s, 100) for s in range(4002)])
+    batches = []
+    for piece in range(20):  # each of some texts
+        some = slice(piece * 10_000, piece * 10_000 + 10_000)
+        grams = cm.Grams(before[some], none[some], earlier[some] % 7, none[some], symbol[some], np.arange(10_000) // 20, np.ones(10_000, np.int64))
+        batches.append(cm._dealt(plan, grams, piece, cm._LEARNED, None))
+    tracemalloc.start()
+    try:
+        rows = sum(out.num_rows for out in cm._coster(lambda: plan, lambda: None)(iter(batches)))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == 20 * 500
+    assert peak < 480 * size
+
+
+def test_tasks_that_cost_buckets_are_given_small_batches(spark, docs, monkeypatch):
+    name, seen, stage = "spark.sql.execution.arrow.maxBytesPerBatch", {}, cm.stage
+    monkeypatch.setattr(cm, "stage", lambda df, label: seen.update({label: spark.conf.get(name)}) or stage(df, label))
+    before = spark.conf.get(name)
+    assert cm.score_texts(docs(sample(9))).count() == 18
+    assert int(seen["lm_costs"].removesuffix("b")) == cm._BATCH_BYTES <= 8 << 20 and spark.conf.get(name) == before
+    rows = spark.range(0, 64, 1, 1).selectExpr("repeat('x', 100000) AS payload")
+    with cm.small_batches(spark, 1 << 20):
+        sizes = rows.mapInArrow(lambda batches: (cm.pa.RecordBatch.from_arrays([cm.pa.array([b.num_rows])], ["n"]) for b in batches), "n long").collect()
+    assert max(r["n"] for r in sizes) <= 11
+
+
+def test_words_are_counted_in_training_and_kept_with_their_bytes(spark, monkeypatch):
+    monkeypatch.setattr(cm, "_COUNTED_ROWS", 1)
+    texts = [(True, "One two one"), (True, None), (False, "two new"), (True, "")]
+    frame = spark.createDataFrame(texts, "learned boolean, text string").coalesce(1)
+    found = {None if r["token"] == int(cm._END.view(np.int64)) else bytes(r["word"]): r["n"] for r in cm.token_table(frame).collect()}
+    assert found == {b"one": 2, b"two": 1, b"new": 0, None: 3}

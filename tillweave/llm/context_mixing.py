@@ -36,7 +36,7 @@ from __future__ import annotations
 import heapq
 import itertools
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -48,8 +48,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillweave.llm.textwords import Words, give_back, mix, pieces, ragged, read_words, sums_per_text
-from tillweave.operators.materialize import stage
+from tillweave.llm.textwords import Words, give_back, joined, keep_freed, mix, pieces, ragged, read_words, sums_per_text
+from tillweave.operators.materialize import small_batches, stage, tidy
 
 VOCABULARY = (1 << 16) - 2
 _U = np.uint64
@@ -65,7 +65,9 @@ _ROUNDS = 12
 _SPELLED = -1  # stands for the checksum of a text where a word is meant
 _GROUP_ROWS = 1 << 18
 _BUCKET_ROWS = 1 << 19
-_CHUNK_ROWS = 1 << 14
+_CHUNK_ROWS = 1 << 16
+_BATCH_BYTES = 4 << 20
+_COUNTED_ROWS = 1 << 19
 
 
 @dataclass
@@ -78,6 +80,19 @@ class Code:
     size: np.ndarray
     packed: np.ndarray
 
+    @cached_property
+    def paths(self) -> np.ndarray:
+        """The bits of each symbol, from the top of a number on."""
+        depth = (np.arange(len(self.packed)) - np.repeat(self.begin, self.size)).astype(_U)
+        return np.bitwise_or.reduceat((self.packed & 1).astype(_U) << (_U(63) - depth), self.begin)
+
+    @cached_property
+    def ranks(self) -> np.ndarray:
+        """Places of the symbols in the order of their paths."""
+        out = np.empty(len(self.paths), np.int64)
+        out[np.argsort(self.paths, kind="stable")] = np.arange(len(out))
+        return out
+
 
 def huffman(counts: list[int]) -> Code:
     n = len(counts)
@@ -157,12 +172,16 @@ def _levels(seen: np.ndarray) -> np.ndarray:
     return (seen > 0).astype(np.uint8) + (seen > 2) + (seen > 9)
 
 
-def _mixed(x: np.ndarray, weights: np.ndarray, gate: np.ndarray) -> np.ndarray:
-    return np.clip(np.einsum("kn,nk->n", x, weights.take(gate, axis=0)), -14, 14)
+def _mixed(x: Sequence[np.ndarray], weights: np.ndarray, gate: np.ndarray) -> np.ndarray:
+    odds = x[0] * weights[:, 0].take(gate)
+    for k in range(1, _INPUTS):
+        odds += x[k] * weights[:, k].take(gate)
+    return np.clip(odds, -14, 14, out=odds)
 
 
 def _step(odds: np.ndarray) -> np.ndarray:
-    return np.clip(np.rint(odds * 2).astype(np.int64) + _STEPS // 2, 0, _STEPS - 1)
+    most = _STEPS // 2
+    return np.clip(np.rint(odds * 2), -most, most).astype(np.int64) + most
 
 
 @dataclass
@@ -172,7 +191,7 @@ class Model:
     weights: np.ndarray
     after: np.ndarray
 
-    def mixed_cost(self, x: np.ndarray, gate: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    def mixed_cost(self, x: Sequence[np.ndarray], gate: np.ndarray, bits: np.ndarray) -> np.ndarray:
         """log10 of the probability of each decision: half the mix, half what followed such mixes."""
         odds = _mixed(x, self.weights, gate)
         own = self.after.ravel().take(gate * _STEPS + _step(odds))
@@ -206,6 +225,10 @@ def fitted(cells: np.ndarray) -> Model:
     return make_model(weights, after.reshape(_GATES, _STEPS, 2))
 
 
+def _begins(values: np.ndarray) -> np.ndarray:
+    return np.r_[True, values[1:] != values[:-1]][: len(values)]
+
+
 def tokens(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens, an end after each text's words, and where each text begins (and the end)."""
     n = len(words.first) - 1
@@ -220,18 +243,48 @@ def tokens(words: Words) -> tuple[np.ndarray, np.ndarray]:
 # --- word counts ------------------------------------------------------------------------------------------------
 
 
+def _counted(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """Rows of (token, n, word) with those of a token as one."""
+    batch = joined(held)
+    codes, distinct = pd.factorize(batch.column(0).to_numpy())
+    if len(distinct) == len(codes):
+        return batch
+    sample = np.zeros(len(distinct), np.int64)
+    sample[codes] = np.arange(len(codes))
+    n = np.bincount(codes, batch.column(1).to_numpy(), len(distinct)).astype(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(distinct), pa.array(n), batch.column(2).take(pa.array(sample))], batch.schema.names)
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    keep_freed()
+    held, size = [], 0
     for piece in pieces(batches, "text"):
-        hashed, _ = tokens(read_words(piece.column(0), lower=True))
-        codes, distinct = pd.factorize(hashed)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(distinct.view(np.int64)), pa.array(np.bincount(codes, minlength=len(distinct)))], ["token", "n"]
-        )
+        words = read_words(piece.column(1), lower=True)
+        learned = piece.column(0).to_numpy(zero_copy_only=False)
+        codes, distinct = pd.factorize(words.hashed)
+        sample = np.zeros(len(distinct), np.int64)
+        sample[codes] = np.arange(len(codes))
+        n = np.bincount(codes, np.repeat(learned, words.counts), len(distinct))
+        start, length = words.start[sample], (words.end - words.start)[sample]
+        # The end is spelled by no word.
+        ends = np.r_[0, np.cumsum(length), length.sum()].astype(np.int32)
+        data = [None, pa.py_buffer(ends), pa.py_buffer(words.data[ragged(start, length)])]
+        spelled = pa.BinaryArray.from_buffers(pa.binary(), len(distinct) + 1, data)
+        counted = [np.r_[distinct, _END].view(np.int64), np.r_[n, learned.sum()].astype(np.int64)]
+        held.append(pa.RecordBatch.from_arrays([*map(pa.array, counted), spelled], ["token", "n", "word"]))
+        size += len(distinct)
+        if size > _COUNTED_ROWS:
+            yield _counted(held)
+            held, size = [], 0
+    if held:
+        yield _counted(held)
 
 
-def token_table(training: DataFrame) -> DataFrame:
-    """(token, n): hashes of all tokens of the texts, and how often each is there."""
-    return training.mapInArrow(_count_words, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+def token_table(texts: DataFrame) -> DataFrame:
+    """(token, n, word): hashes of all tokens of (learned, text), how often each is in those learned, and its bytes."""
+    # A task has counted its tokens, so that they are sorted after the shuffle only.
+    counts = texts.mapInArrow(_count_words, "token long, n long, word binary").repartition("token")
+    return counts.groupBy("token").agg(F.sum("n").alias("n"), F.first("word").alias("word"))
 
 
 # --- grams in packed form ---------------------------------------------------------------------------------------
@@ -272,12 +325,22 @@ class Plan:
     def symbols(self) -> int:
         return len(self.coder.code.size)
 
+    @cached_property
+    def code_keys(self) -> np.ndarray:
+        return mix(np.arange(len(self.salts)).astype(_U) * _START + _U(1))
+
     def keys(self, code: np.ndarray, word: np.ndarray) -> np.ndarray:
-        return mix(np.where(code == self.escape, word, code.astype(_U) * _START + _U(1)))
+        out = self.code_keys[code]
+        other = np.flatnonzero(code == self.escape)
+        out[other] = mix(word[other])
+        return out
 
-    def groups(self, before: np.ndarray, one: np.ndarray, earlier: np.ndarray) -> np.ndarray:
-        salt = mix(earlier) % self.salts[before].astype(_U)
-        return mix(one + salt)
+    def groups(self, grams: Grams) -> np.ndarray:
+        out = self.keys(grams.before, grams.before_word)
+        salts = self.salts[grams.before]
+        hot = np.flatnonzero(salts > 1)
+        out[hot] += mix(self.keys(grams.earlier[hot], grams.earlier_word[hot])) % salts[hot].astype(_U)
+        return mix(out)
 
 
 @dataclass
@@ -303,7 +366,7 @@ def _planes(x: np.ndarray, width: int) -> bytes:
 def _from_planes(data: np.ndarray, n: int, width: int) -> np.ndarray:
     out = np.zeros((n, 8), np.uint8)
     out[:, :width] = data[: n * width].reshape(width, n).T
-    return out.view("<u8").ravel().astype(np.int64)
+    return out.view("<i8").ravel()
 
 
 _WIDTHS = (3, 3, 3, 4, 5)
@@ -350,11 +413,12 @@ def token_grams(hashed: np.ndarray, first: np.ndarray, coder: Coder) -> Grams:
     # 17 bits are enough for a code; the text's own number is compared below.
     key = (rows.before << 47 | rows.earlier << 30 | rows.symbol << 13).view(_U) | (rows.doc & 8191).astype(_U)
     order = np.argsort(key)
-    new = np.ones(len(key), bool)
-    new[1:] = False
-    for x in (key, rows.before_word, rows.earlier_word, rows.doc):
-        x = x[order]
-        new[1:] |= x[1:] != x[:-1]
+    new = _begins(key[order])
+    # Only rows of equal keys can be of other words or texts.
+    like = np.flatnonzero(~new)
+    a, b = order[like], order[like - 1]
+    for x in (rows.before_word, rows.earlier_word, rows.doc):
+        new[like] |= x[a] != x[b]
     starts = np.flatnonzero(new)
     out = rows.take(order[starts])
     out.times = np.diff(np.r_[starts, len(key)])
@@ -382,13 +446,13 @@ _HELD, _LEARNED, _DIRECTORY, _OWN = range(4)
 _EVERY = 1 << 20
 
 
-def _rows(buckets: list[int], piece: int, kind: int, payloads: list[bytes]) -> pa.RecordBatch:
+def _rows(buckets: list[int], piece: int, kind: int | list[int], payloads: list[bytes]) -> pa.RecordBatch:
     n = len(buckets)
     return pa.RecordBatch.from_arrays(
         [
             pa.array(buckets, pa.int32()),
             pa.array([piece] * n, pa.int64()),
-            pa.array([kind] * n, pa.int32()),
+            pa.array([kind] * n if isinstance(kind, int) else kind, pa.int32()),
             pa.array(payloads, pa.binary()),
         ],
         ["bucket", "piece", "kind", "payload"],
@@ -397,23 +461,23 @@ def _rows(buckets: list[int], piece: int, kind: int, payloads: list[bytes]) -> p
 
 def _chosen(plan: Plan, grams: Grams, share: int) -> np.ndarray:
     """Places of the rows in that part (of ``_EVERY``) of all groups."""
-    one, earlier = plan.keys(grams.before, grams.before_word), plan.keys(grams.earlier, grams.earlier_word)
-    return np.flatnonzero(plan.groups(grams.before, one, earlier) % _U(_EVERY) < _U(share))
+    return np.flatnonzero(plan.groups(grams) % _U(_EVERY) < _U(share))
 
 
-def _dealt(plan: Plan, grams: Grams, piece: int, kind: int, share: int | None) -> pa.RecordBatch:
-    """Rows of a piece by bucket; with ``share``, those of that part of all groups, in bucket 0."""
+def _dealt(plan: Plan, grams: Grams, piece: int, kind: int | np.ndarray, share: int | None) -> pa.RecordBatch:
+    """Rows of a piece by kind (one of all grams, or each gram's) and bucket; with ``share``, those of that part of all
+    groups, in bucket 0."""
     if share is not None:
         at = _chosen(plan, grams, share)
         return _rows([0] if len(at) else [], piece, kind, [pack(grams.take(at), plan.escape)] if len(at) else [])
-    one, earlier = plan.keys(grams.before, grams.before_word), plan.keys(grams.earlier, grams.earlier_word)
-    bucket = (plan.groups(grams.before, one, earlier) >> _U(20)) % _U(plan.buckets)
-    bucket = bucket.astype(np.uint16 if plan.buckets < 1 << 16 else np.uint32)
+    bucket = (plan.groups(grams) >> _U(20)) % _U(plan.buckets) + _U(plan.buckets) * _U(kind)
+    bucket = bucket.astype(np.uint16 if plan.buckets * (_LEARNED + 1) < 1 << 16 else np.uint32)
     grams = grams.take(np.argsort(bucket, kind="stable"))
     sizes = np.bincount(bucket)
     found = np.flatnonzero(sizes)
     ends = np.cumsum(sizes[found])
-    return _rows(found.tolist(), piece, kind, [pack(grams.take(slice(e - n, e)), plan.escape) for e, n in zip(ends, sizes[found], strict=True)])
+    payloads = [pack(grams.take(slice(e - n, e)), plan.escape) for e, n in zip(ends, sizes[found], strict=True)]
+    return _rows((found % plan.buckets).tolist(), piece, (found // plan.buckets).tolist(), payloads)
 
 
 def _number() -> Iterator[int]:
@@ -427,15 +491,13 @@ def _directory(plan: Plan, piece: int, row: np.ndarray, again: np.ndarray) -> pa
 
 def _pack_texts(plan_of: Callable[[], Plan]):
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_freed()
         plan = plan_of()
         for piece, batch in zip(_number(), pieces(batches, "text")):
             hashed, first = tokens(read_words(batch.column(3), lower=True))
             learned = batch.column(2).to_numpy(zero_copy_only=False)
             grams = token_grams(hashed, first, plan.coder)
-            for kind in (_HELD, _LEARNED):
-                own = np.flatnonzero(learned[grams.doc] == bool(kind))
-                if len(own):
-                    yield _dealt(plan, grams.take(own), piece, kind, None)
+            yield _dealt(plan, grams, piece, np.where(learned, _LEARNED, _HELD)[grams.doc], None)
             yield _directory(plan, piece, batch.column(0).to_numpy(), batch.column(1).to_numpy())
 
     return packed
@@ -473,6 +535,8 @@ def _pack_own(plan_of: Callable[[], Plan]):
         plan = plan_of()
         for batch in batches:
             for before, after in zip(batch.column(0).to_numpy(), batch.column(1), strict=True):
+                if plan.salts[before] == 1:
+                    continue
                 code = np.array([before])
                 group = mix(plan.keys(code, np.zeros(1, _U)) + np.arange(plan.salts[before]).astype(_U))
                 buckets = np.unique((group >> _U(20)) % _U(plan.buckets)).tolist()
@@ -484,23 +548,20 @@ def _pack_own(plan_of: Callable[[], Plan]):
     return packed
 
 
-def _survey(plan_of: Callable[[], Plan]):
-    """Counts of symbols after the salted contexts."""
+def _split_rows(n_tokens: int) -> int:
+    """Beyond how many rows a context is salted. On smaller input a 512th of all rows is split as well, so that buckets
+    are even."""
+    return min(_GROUP_ROWS, max(n_tokens // 512, 1 << 12))
 
-    def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plan = plan_of()
-        for batch in pieces(batches, "text"):
-            hashed, first = tokens(read_words(batch.column(1), lower=True))
-            learned = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), np.diff(first))
-            symbol = plan.coder.symbols(hashed)
-            before = np.r_[plan.escape + 1, symbol[:-1]]
-            before[first[:-1]] = plan.escape + 1
-            hot = plan.salts[before] > 1
-            codes, distinct = pd.factorize(before[hot] << 20 | symbol[hot])
-            n = np.bincount(codes, learned[hot], len(distinct)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(distinct.astype(np.int64)), pa.array(n)], ["pair", "n"])
 
-    return survey
+def _survey(symbol: np.ndarray, first: np.ndarray, learned: np.ndarray, hot: np.ndarray, escape: int) -> pa.Array:
+    """(pair, n): how often symbols come after the contexts marked in ``hot``, in the texts that are learned."""
+    before = np.r_[escape + 1, symbol[:-1]]
+    before[first[:-1]] = escape + 1
+    at = np.flatnonzero(hot[before])
+    codes, distinct = pd.factorize(before[at] << 20 | symbol[at])
+    n = np.bincount(codes, np.repeat(learned, np.diff(first))[at], len(distinct)).astype(np.int64)
+    return pa.StructArray.from_arrays([pa.array(distinct.astype(np.int64)), pa.array(n)], ["pair", "n"])
 
 
 def _byte_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -511,41 +572,41 @@ def _byte_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(distinct.astype(np.int64)), pa.array(n)], ["gram", "n"])
 
 
-def _escaped_words(coder_of: Callable[[], Coder]):
-    def escaped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = coder_of()
-        for piece in pieces(batches, "text"):
-            words = read_words(piece.column(0), lower=True)
-            codes, distinct = pd.factorize(words.hashed)
-            sample = np.zeros(len(distinct), np.int64)
-            sample[codes] = np.arange(len(codes))
-            rare = np.flatnonzero(coder.symbols(distinct) == len(coder.hashes))
-            start, size = words.start[sample[rare]], (words.end - words.start)[sample[rare]]
-            data = words.data[ragged(start, size)]
-            ends = np.r_[0, np.cumsum(size)].astype(np.int32)
-            spelled = pa.BinaryArray.from_buffers(pa.binary(), len(rare), [None, pa.py_buffer(ends), pa.py_buffer(data)])
-            yield pa.RecordBatch.from_arrays([pa.array(distinct[rare].view(np.int64)), spelled], ["token", "word"])
-
-    return escaped
-
-
 # --- the model --------------------------------------------------------------------------------------------------
 
 
-def _after(code: Code, context: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Of the decisions of rows: (row, node, bit, how often it went 0, and 1, there after the context); ``context`` is
-    a number below 2**40."""
-    size = code.size[symbol]
-    step = code.packed.take(ragged(code.begin[symbol], size))
-    row, node, bit = np.repeat(np.arange(len(size), dtype=np.int32), size), step >> 33, step & 1
-    own = n.astype(_F)[row]
-    went = np.stack([own * (1 - bit), own * bit]).astype(_F)
-    several = np.flatnonzero(pd.Series(context).duplicated(keep=False).to_numpy()[row])
-    codes, distinct = pd.factorize(context[row[several]] << 18 | node[several])
-    for k in (0, 1):
-        sums = np.bincount(codes, went[k, several], len(distinct)).astype(_F)
-        went[k, several] = sums[codes]
-    return row, node, bit, went
+@dataclass
+class _Turn:
+    """The decisions of one depth, of the rows that have one there (``at`` among all, ascending)."""
+
+    at: np.ndarray
+    place: np.ndarray  # of the decision in the code
+    bit: np.ndarray
+    n: np.ndarray
+    went: np.ndarray  # how often it went 0, and 1, after the context of the row
+
+
+def _turns(code: Code, new: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> Iterator[_Turn]:
+    """Depth by depth the decisions of rows, of which those of a context (it begins at each ``new``) are in the order of
+    their paths: rows that share the decisions so far are then next to one another."""
+    path, size, begin, n = code.paths[symbol], code.size[symbol].astype(np.uint8), code.begin[symbol], n.astype(float)
+    differ = path[1:] ^ path[:-1]
+    # Without the bit after the highest a number is not rounded up to a power of 2.
+    shared = np.r_[-1, 64 - np.frexp((differ & ~(differ >> _U(1))).astype(float))[1]].astype(np.int8)
+    shared[new] = -1
+    at = np.arange(len(path))
+    for depth in range(int(size.max(initial=0))):
+        if depth >= size.min():
+            left = np.flatnonzero(size > depth)
+            path, size, begin, n, shared, at = (x.take(left) for x in (path, size, begin, n, shared, at))
+        bit = (path >> _U(63 - depth)).astype(np.uint8) & 1
+        first = shared < depth
+        starts = np.flatnonzero(first)
+        ones = np.add.reduceat(n * bit, starts)
+        went = np.stack([np.add.reduceat(n, starts) - ones, ones]).astype(_F)
+        if len(starts) < len(at):
+            went = went.take(np.cumsum(first) - 1, axis=1)
+        yield _Turn(at, begin + depth, bit, n, went)
 
 
 def _odds(went: np.ndarray) -> np.ndarray:
@@ -573,10 +634,10 @@ class Merged:
     own_symbol: np.ndarray
     own_n: np.ndarray
 
-    def decisions(self, code: Code) -> Iterator[tuple[np.ndarray, ...]]:
-        """(first gram, end, row from there, node, bit, bits and went 0 and 1 after some contexts, the place of each
-        decision's ``one`` there, went 0 and 1 after two) of some grams at a time, all those of ``two`` together."""
-        at, size = 0, code.size[self.own_symbol]
+    def chunks(self) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(first gram, end, places of the own counts after their nearer contexts, of each gram's own among these) of
+        some grams at a time, all those of ``two`` together."""
+        at = 0
         ends = np.r_[np.flatnonzero(self.two[1:] != self.two[:-1]) + 1, len(self.two)]
         while at < len(self.two):
             upto = int(ends[min(np.searchsorted(ends, at + _CHUNK_ROWS), len(ends) - 1)])
@@ -584,17 +645,20 @@ class Merged:
             ones = np.unique(one)
             low = np.searchsorted(self.own_one, ones)
             own = ragged(low, np.searchsorted(self.own_one, ones, "right") - low)
-            number = np.cumsum(np.r_[False, self.own_one[own][1:] != self.own_one[own][:-1]])
-            _, _, own_bit, after_own = _after(code, number, self.own_symbol[own], self.own_n[own])
-            number = np.cumsum(np.r_[False, self.two[at + 1 : upto] != self.two[at : upto - 1]])
-            row, node, bit, after_two = _after(code, number, symbol, self.n[at:upto])
             # Each gram's symbol has an own count after its ``one``, with as many decisions.
-            place = pd.Index(_pair(self.own_one[own], self.own_symbol[own])).get_indexer(_pair(one, symbol))
-            begin = (np.cumsum(size[own]) - size[own])[place]
-            yield at, upto, row, node, bit, own_bit, after_own, ragged(begin, code.size[symbol]), after_two
+            yield at, upto, own, pd.Index(_pair(self.own_one[own], self.own_symbol[own])).get_indexer(_pair(one, symbol))
             at = upto
 
 
+def _by_paths(order: np.ndarray, context: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """That order of rows with those of equal contexts, which it brings together, by ``rank``."""
+    new = _begins(context[order])
+    several = np.flatnonzero(~(new & np.r_[new[1:], True]))
+    rows = order[several]
+    order[several] = rows[np.argsort(np.cumsum(new)[several] << 32 | rank[rows])]
+    return order
+
+
 def _by_contexts(one: np.ndarray, two: np.ndarray) -> np.ndarray:
     """An order that brings equal ``two`` together, and ``one`` nearly so."""
     key = (one >> _U(44) << _U(44)) | (two >> _U(20))
@@ -604,10 +668,8 @@ def _by_contexts(one: np.ndarray, two: np.ndarray) -> np.ndarray:
     return np.lexsort((two, one)) if mingled.any() else order
 
 
-def merged(plan: Plan, parts: list[tuple[int, Grams]], owns: list[np.ndarray]) -> tuple[Merged, np.ndarray]:
-    """The grams of some (kind, grams), and of each of their rows the place of its gram."""
-    rows = Grams(*(np.concatenate([getattr(g, name) for _, g in parts]) for name in Grams.__annotations__))
-    learned = np.repeat([kind == _LEARNED for kind, _ in parts], [len(g.doc) for _, g in parts])
+def merged(plan: Plan, rows: Grams, learned: np.ndarray, owns: list[np.ndarray]) -> tuple[Merged, np.ndarray]:
+    """The grams of some rows, and of each row the place of its gram."""
     one = plan.keys(rows.before, rows.before_word)
     two = mix(one ^ mix(plan.keys(rows.earlier, rows.earlier_word) + _U(1)))
     codes, distinct = pd.factorize(_pair(two, rows.symbol))
@@ -615,7 +677,7 @@ def merged(plan: Plan, parts: list[tuple[int, Grams]], owns: list[np.ndarray]) -
     sample = np.zeros(len(distinct), np.int64)
     sample[codes] = np.arange(len(codes))
     one, two, symbol, before = one[sample], two[sample], rows.symbol[sample], rows.before[sample]
-    order = _by_contexts(one, two)
+    order = _by_paths(_by_contexts(one, two), two, plan.code.ranks[symbol])
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
     cold = np.flatnonzero(plan.salts[before] == 1)
@@ -628,7 +690,7 @@ def merged(plan: Plan, parts: list[tuple[int, Grams]], owns: list[np.ndarray]) -
         key = plan.keys(given[:1], np.zeros(1, _U))
         own.append((np.repeat(key, size), given[1 : 1 + size], given[1 + size :].astype(float)))
     own_one, own_symbol, own_n = (np.concatenate(x) for x in zip(*own, strict=True))
-    by = np.argsort(own_one)
+    by = _by_paths(np.argsort(own_one), own_one, plan.code.ranks[own_symbol])
     return Merged(one[order], two[order], symbol[order], n[order], own_one[by], own_symbol[by], own_n[by]), place[codes]
 
 
@@ -646,10 +708,41 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         yield held
 
 
-def _read(plan: Plan, rows: list[tuple]) -> tuple[list[tuple[int, int, Grams]], list[np.ndarray]]:
-    grams = [(piece, kind, unpack(payload, plan.escape)) for piece, kind, payload in rows if kind in (_HELD, _LEARNED)]
+@dataclass
+class _Bucket:
+    """The rows of a bucket, whether they were learned from, the payload of each and the piece of each payload, and the
+    counts given for salted contexts."""
+
+    rows: Grams
+    learned: np.ndarray
+    payload: np.ndarray
+    piece: np.ndarray
+    owns: list[np.ndarray]
+
+
+def _read(plan: Plan, payloads: list[tuple]) -> _Bucket | None:
+    """What the (piece, kind, payload) hold; each is let go once it is read."""
+    columns, sizes, pieces_of, learned, owns = [[] for _ in Grams.__annotations__], [], [], [], []
     unzipped = zstandard.ZstdDecompressor().decompress
-    return grams, [np.frombuffer(unzipped(payload), "<i8") for _, kind, payload in rows if kind == _OWN]
+    while payloads:
+        piece, kind, payload = payloads.pop()
+        if kind == _OWN:
+            owns.append(np.frombuffer(unzipped(payload), "<i8"))
+        elif kind in (_HELD, _LEARNED):
+            grams = unpack(payload, plan.escape)
+            for held, column in zip(columns, vars(grams).values(), strict=True):
+                held.append(column)
+            sizes.append(len(grams.doc))
+            pieces_of.append(piece)
+            learned.append(kind == _LEARNED)
+    if not sizes:
+        return None
+    whole = []
+    for held in columns:
+        whole.append(np.concatenate(held))
+        held.clear()
+    numbers = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    return _Bucket(Grams(*whole), np.array(learned)[numbers], numbers, np.array(pieces_of, np.int64), owns)
 
 
 def _without(went: np.ndarray, bit: np.ndarray) -> np.ndarray:
@@ -657,69 +750,95 @@ def _without(went: np.ndarray, bit: np.ndarray) -> np.ndarray:
     return np.maximum(went - np.stack([1 - bit, bit]).astype(_F), 0)
 
 
-def _alone_cells(plan: Plan) -> np.ndarray:
-    """By twice the node and the bit, what they add to the number of a cell."""
-    bit = np.tile([0, 1], plan.first.shape[1])
-    step = _step(_odds(_without(np.repeat(plan.first, 2, axis=1), bit)))
-    return (2 * _STEPS**2 * step + bit).astype(np.int32)
+def _alone(plan: Plan) -> tuple[np.ndarray, np.ndarray]:
+    """By the place of a decision in the code, its log odds alone, and what these and the bit add to a cell."""
+    node, bit = plan.code.packed >> 33, plan.code.packed & 1
+    step = _step(_odds(_without(plan.first[:, None], np.array([[0], [1]]))))
+    return _odds(plan.first)[node], (2 * _STEPS**2 * step[bit, node] + bit).astype(np.int32)
+
+
+def _priced(plan: Plan, symbol: np.ndarray, alone: np.ndarray, decided: list[tuple], model: Model) -> np.ndarray:
+    """Costs of some grams by (gate, log odds after one, and two contexts) of their decisions, depth by depth."""
+    costs = np.zeros(len(symbol))
+    size, begin, path = plan.code.size[symbol].astype(np.uint8), plan.code.begin[symbol], plan.code.paths[symbol]
+    for depth, (gate, one, two) in enumerate(decided):
+        at = np.flatnonzero(size > depth)
+        bit = (path[at] >> _U(63 - depth)).astype(np.uint8) & 1
+        costs[at] += model.mixed_cost((alone.take(begin[at] + depth), one, two), gate.astype(np.int64), bit)
+    return costs
+
+
+def _decided(plan: Plan, some: Merged, at: int, upto: int, own: np.ndarray, place: np.ndarray) -> Iterator[tuple]:
+    """Depth by depth (decisions, their gates, log odds after one, and after two contexts, and a function that gives the
+    cells of what is left without one occurrence) of the grams from ``at`` to ``upto``."""
+    spelled = some.symbol[at:upto] >= plan.symbols
+    number = some.own_one[own]
+    owns = _turns(plan.code, _begins(number), some.own_symbol[own], some.own_n[own])
+    level, odds, cell = np.empty(len(own), np.uint8), np.empty(len(own), _F), np.empty(len(own), np.int64)
+    for turn in _turns(plan.code, _begins(some.two[at:upto]), some.symbol[at:upto], some.n[at:upto]):
+        after = next(owns)
+        level[after.at], odds[after.at] = _levels(after.went[0] + after.went[1]), _odds(after.went)
+        there, strange = place.take(turn.at), spelled.take(turn.at)
+        gate = _gate(strange.astype(np.uint8), level.take(there), _levels(turn.went[0] + turn.went[1]))
+
+        def cells(turn=turn, after=after, there=there, strange=strange):
+            less = _without(after.went, after.bit)
+            cell[after.at] = _levels(less[0] + less[1]) * np.int64(4 * _LEVEL) + _step(_odds(less)) * (2 * _STEPS)
+            less = _without(turn.went, turn.bit)
+            twos = _levels(less[0] + less[1]) * np.int64(_LEVEL) + _step(_odds(less)) * 2
+            return cell.take(there) + twos + strange * (16 * _LEVEL)
+
+        yield turn, gate, odds.take(there), _odds(turn.went), cells
+
+
+def _bucket_costs(plan: Plan, some: Merged, alone: np.ndarray, alone_cells: np.ndarray, model: Model | None) -> np.ndarray:
+    """Costs of the grams of a bucket, by ``model`` or else by one that is fitted to their occurrences in training."""
+    held, cells = [], np.zeros(_GATES * _LEVEL)
+    costs = np.empty(len(some.two))
+    for at, upto, own, place in some.chunks():
+        decided = []
+        for turn, gate, one, two, cells_of in _decided(plan, some, at, upto, own, place):
+            decided.append((gate, one, two))
+            if model is None:
+                np.add.at(cells, cells_of() + alone_cells.take(turn.place), turn.n)
+        held.append((at, upto, decided))
+        if model is not None:
+            costs[at:upto] = _priced(plan, some.symbol[at:upto], alone, held.pop()[2], model)
+    if held:
+        model = fitted(cells)
+    while held:
+        at, upto, decided = held.pop()
+        costs[at:upto] = _priced(plan, some.symbol[at:upto], alone, decided, model)
+    return costs
 
 
 def _coster(plan_of: Callable[[], Plan], model_of: Callable[[], Model | None]):
     """Costs of the rows of each bucket, by the given model or else by one that is fitted to the bucket."""
 
     def cost(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_freed()
         plan, given = plan_of(), model_of()
-        alone, alone_cells = _odds(plan.first), _alone_cells(plan) if given is None else None
+        alone, alone_cells = _alone(plan)
         try:
-            for rows in _buckets(batches):
-                for piece, kind, payload in rows:
+            for payloads in _buckets(batches):
+                for piece, kind, payload in payloads:
                     if kind == _DIRECTORY:
                         row, again = np.frombuffer(payload, "<i8").reshape(2, -1)
                         yield _costs(np.full(len(row), piece), np.arange(len(row)), np.zeros(len(row)), row, again)
-                grams, owns = _read(plan, rows)
-                rows.clear()
-                if not grams:
+                bucket = _read(plan, payloads)
+                if bucket is None:
                     continue
-                all_of, place = merged(plan, [(kind, g) for _, kind, g in grams], owns)
-                grams = [(piece, g.doc, g.times) for piece, _, g in grams]
-                costs = np.zeros(len(all_of.two))
-                held, cells = [], np.zeros(_GATES * _LEVEL)
-
-                def priced(model, at, upto, gate, one, two):
-                    symbol = all_of.symbol[at:upto]  # noqa: B023
-                    size = plan.code.size[symbol]
-                    step = plan.code.packed.take(ragged(plan.code.begin[symbol], size))
-                    x, row = np.stack([alone[step >> 33], one, two]), np.repeat(np.arange(upto - at), size)
-                    costs[at:upto] = np.bincount(row, model.mixed_cost(x, gate.astype(np.int64), step & 1), upto - at)  # noqa: B023
-
-                for at, upto, row, node, bit, own_bit, after, there, two in all_of.decisions(plan.code):
-                    spelled = all_of.symbol[at:upto] >= plan.symbols
-                    gate = _gate(spelled.astype(np.uint8)[row], _levels(after[0] + after[1])[there], _levels(two[0] + two[1]))
-                    decided = (at, upto, gate, _odds(after)[there], _odds(two))
-                    if given is not None:
-                        priced(given, *decided)
-                        continue
-                    held.append(decided)
-                    less = _without(after, own_bit)
-                    ones = (_levels(less[0] + less[1]) * np.int32(4 * _LEVEL) + _step(_odds(less)) * (2 * _STEPS)).astype(np.int32)
-                    less = _without(two, bit)
-                    twos = _levels(less[0] + less[1]) * np.int32(_LEVEL) + _step(_odds(less)).astype(np.int32) * 2
-                    cell = (spelled * np.int32(16 * _LEVEL))[row] + ones[there] + twos + alone_cells[node << 1 | bit]
-                    seen = np.bincount(cell, all_of.n[at:upto][row])
-                    some = np.flatnonzero(seen)
-                    cells[some] += seen[some]
-                if held:
-                    model = fitted(cells)
-                    while held:
-                        priced(model, *held.pop())
-                at = 0
-                for piece, doc, times in grams:
-                    if piece >= 0:
-                        codes, docs = pd.factorize(doc)
-                        sums = np.bincount(codes, costs[place[at : at + len(doc)]] * times, len(docs))
-                        yield _costs(np.full(len(docs), piece), docs, sums)
-                    at += len(doc)
-                del grams, all_of, place, costs, cells
+                grams, place = merged(plan, bucket.rows, bucket.learned, bucket.owns)
+                doc, times, number, piece = bucket.rows.doc, bucket.rows.times, bucket.payload, bucket.piece
+                del bucket
+                costs = _bucket_costs(plan, grams, alone, alone_cells, given)
+                del grams
+                codes, of = pd.factorize(number.astype(np.int64) << 40 | doc)
+                sums = np.bincount(codes, costs[place] * times, len(of))
+                asked = np.flatnonzero(piece[of >> 40] >= 0)
+                of, sums = of[asked], sums[asked]
+                yield _costs(piece[of >> 40], of & (1 << 40) - 1, sums)
+                del place, doc, times, number, costs, codes, of, sums
                 give_back()  # a bucket takes much of a worker's memory
         finally:
             give_back()
@@ -742,13 +861,17 @@ def taught_share(rows: int, most: int = TAUGHT_ROWS) -> int:
     return _EVERY if rows <= most else max(most * _EVERY // rows, 1)
 
 
-def sequence_costs(rows: DataFrame, words: DataFrame, coder: Coder, n_rows: int, n_tokens: int) -> DataFrame:
+def sequence_costs(
+    rows: DataFrame, words: DataFrame, survey: DataFrame, coder: Coder, n_rows: int, n_tokens: int
+) -> DataFrame:
     """(row, again, cost): log10 of the probability of each text of ``rows`` (row, again, learned, text), the spelling
     of words outside the vocabulary left out, and of the spelling of each of ``words`` (token, n, word) whose ``n`` is
-    0 (``row`` is its token, ``again`` is -1)."""
+    0 (``row`` is its token, ``again`` is -1). ``survey`` (pair, n) has the counts of ``_survey`` of all texts, those of
+    every context that is salted among them."""
     context = rows.sparkSession.sparkContext
     counts = words.select("n", "word").mapInArrow(_byte_counts, "gram long, n long")
-    counts = stage(counts.groupBy("gram").agg(F.sum("n").alias("n")), "lm_bytes")
+    with tidy(rows.sparkSession):
+        counts = stage(counts.groupBy("gram").agg(F.sum("n").alias("n")), "lm_bytes")
     pair = F.expr("shiftright(gram, 24)")
     of_bytes = F.expr(f"(shiftright(gram, 24) & 255) * 256 + (gram & 255) + {len(coder.code.size)}").alias("symbol")
     totals = counts.groupBy(of_bytes).agg(F.sum("n").alias("n")).toArrow()  # 2**16 rows at most
@@ -761,18 +884,17 @@ def sequence_costs(rows: DataFrame, words: DataFrame, coder: Coder, n_rows: int,
     nodes = max(symbols, 2) + _BYTE_NODES
     first = np.bincount((step >> 33) * 2 + (step & 1), np.repeat(n, size), 2 * nodes).reshape(-1, 2).T.astype(_F)
     seen = np.r_[coder.counts, 1, n_rows, np.full(1 << 16, n_bytes // 3)]
-    # On smaller input a 512th of all rows is split as well, so that buckets are even.
-    salts = np.maximum(-(-seen // min(_GROUP_ROWS, max(n_tokens // 512, 1 << 12))), 1)
+    salts = np.maximum(-(-seen // _split_rows(n_tokens)), 1)
     held = context.broadcast(Plan(coder, code, first, salts, max(-(-(n_tokens + n_bytes) // _BUCKET_ROWS), 1)))
     plan = lambda: held.value
-    survey = rows.select("learned", "text").mapInArrow(_survey(plan), "pair long, n long")
     hot = survey.groupBy("pair").agg(F.sum("n").alias("n"))
     hot = hot.select(F.expr("shiftright(pair, 20)").alias("before"), F.expr("pair & 1048575").alias("symbol"), "n")
     if salts[-1] > 1:
         own = counts.groupBy((pair + len(coder.hashes) + 2).alias("before"), of_bytes).agg(F.sum("n").alias("n"))
         hot = hot.unionByName(own)
     # A vocabulary and 2 symbols at most after each.
-    hot = stage(hot.groupBy("before").agg(F.collect_list(F.struct("symbol", "n")).alias("after")), "lm_own")
+    with tidy(rows.sparkSession):
+        hot = stage(hot.groupBy("before").agg(F.collect_list(F.struct("symbol", "n")).alias("after")), "lm_own")
     counts = counts.where("n > 0")
     dealt = rows.mapInArrow(_pack_texts(plan), _ROWS)
     dealt = dealt.unionByName(words.where("n = 0").select("token", "word").mapInArrow(_pack_words(plan), _ROWS))
@@ -786,14 +908,16 @@ def sequence_costs(rows: DataFrame, words: DataFrame, coder: Coder, n_rows: int,
 # --- scores -----------------------------------------------------------------------------------------------------
 
 
-def _scorer(coder_of: Callable[[], Coder], total: int, distinct: int):
+def _scorer(coder_of: Callable[[], Coder], total: int, distinct: int, hot: np.ndarray):
+    """Counts and base scores of texts, and their other tokens; a survey of each piece is with its first text."""
     scale = math.log10(total + 0.5 * (distinct + 1))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_freed()
         coder = coder_of()
         counts = np.r_[coder.counts, 0]
         for piece in pieces(batches, "text"):
-            words = read_words(piece.column(3), lower=True)
+            words = read_words(piece.column(4), lower=True)
             hashed, first = tokens(words)
             n = len(first) - 1
             text = np.repeat(np.arange(n), np.diff(first))
@@ -809,6 +933,9 @@ def _scorer(coder_of: Callable[[], Coder], total: int, distinct: int):
             rare = pa.StructArray.from_arrays(
                 [pa.array(other[sample].view(np.int64)), pa.array(np.bincount(codes, minlength=len(distinct)))], ["token", "n"]
             )
+            learned = piece.column(3).to_numpy(zero_copy_only=False)
+            after = _survey(symbol, first, learned, hot, len(coder.hashes))
+            at_first = pa.array(np.r_[0, np.full(n, len(after))].astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
                     *piece.columns[:3],
@@ -817,8 +944,9 @@ def _scorer(coder_of: Callable[[], Coder], total: int, distinct: int):
                     pa.array(sums_per_text(held, first)),
                     pa.array(np.bincount(text[held], base[held], n).astype(float)),
                     pa.ListArray.from_arrays(places, rare),
+                    pa.ListArray.from_arrays(at_first, after),
                 ],
-                ["row", "again", "key", "n_bytes", "n_tokens", "known", "base", "rare"],
+                ["row", "again", "key", "n_bytes", "n_tokens", "known", "base", "rare", "after"],
             )
 
     return score
@@ -838,9 +966,11 @@ def score_texts(
     ``log10((c + 0.5) / (N + 0.5 * (V + 1)))`` over the tokens, c being a token's count in training, N all tokens and V
     the distinct ones there; ``score`` is the model's log10 probability, both with the end.
     """
-    end = int(_END.view(np.int64))
-    learned = (docs if training is None else docs.where(training)).select(F.col(text).alias("text"))
-    counts = stage(token_table(learned), "lm_counts")
+    spark, end = docs.sparkSession, int(_END.view(np.int64))
+    learned = F.coalesce(F.lit(True) if training is None else training, F.lit(False)).alias("learned")
+    with tidy(spark):
+        met = stage(token_table(docs.select(learned, F.col(text).alias("text"))), "lm_counts")
+    counts = met.where("n > 0").select("token", "n")
     total, distinct, ends, once, twice = counts.agg(
         F.coalesce(F.sum("n"), F.lit(0)),
         F.count("*"),
@@ -853,31 +983,37 @@ def score_texts(
     coder = make_coder(
         best["token"].to_numpy().view(_U), best["n"].to_numpy().astype(np.int64), total - ends, ends
     )
-    context = docs.sparkSession.sparkContext
-    held_coder = context.broadcast(coder)
+    held_coder = spark.sparkContext.broadcast(coder)
     # Each word outside the vocabulary, once, with all its occurrences in training.
-    spelled = docs.select(F.col(text).alias("text")).mapInArrow(_escaped_words(lambda: held_coder.value), "token long, word binary")
-    spelled = spelled.groupBy("token").agg(F.first("word").alias("word")).join(counts, "token", "left")
-    spelled = stage(spelled.select("token", F.coalesce("n", F.lit(0)).cast("long").alias("n"), "word"), "lm_words")
+    spelled = met.where(F.col("token") != end)
+    if best.num_rows:
+        least, last = best["n"][-1].as_py(), best["token"][-1].as_py()
+        spelled = spelled.where((F.col("n") < least) | (F.col("n") == least) & (F.col("token") > last))
     # Rows are told apart by a hash of key and text and a checksum of the text.
     rows = docs.select(
         F.xxhash64(F.col(key).cast("string"), F.col(text)).alias("row"),
         F.crc32(F.coalesce(F.col(text), F.lit(""))).alias("again"),
-        F.coalesce(F.lit(True) if training is None else training, F.lit(False)).alias("learned"),
+        learned,
         F.col(text).alias("text"),
         F.col(key).alias("key"),
     )
     kind = rows.schema["key"].dataType.simpleString()
-    scored = stage(
-        rows.select("row", "again", "key", "text").mapInArrow(
-            _scorer(lambda: held_coder.value, total, distinct),
+    # Of all contexts that may be salted; there are more tokens than those of training.
+    hot = np.r_[coder.counts > _split_rows(total), False, True]
+    scored = stage(  # without a shuffle
+        rows.select("row", "again", "key", "learned", "text").mapInArrow(
+            _scorer(lambda: held_coder.value, total, distinct, hot),
             f"row long, again long, key {kind}, n_bytes long, n_tokens long, known long, base double, "
-            "rare array<struct<token:long,n:long>>",
+            "rare array<struct<token:long,n:long>>, after array<struct<pair:long,n:long>>",
         ),
         "lm_scores",
     )
+    survey = scored.select(F.inline("after"))
+    scored = scored.drop("after")
     n_rows, n_tokens = scored.agg(F.count("*"), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
-    costs = stage(sequence_costs(rows.drop("key"), spelled, coder, n_rows, n_tokens), "lm_costs")
+    costs = sequence_costs(rows.drop("key"), spelled, survey, coder, n_rows, n_tokens)
+    with small_batches(spark, _BATCH_BYTES), tidy(spark):
+        costs = stage(costs, "lm_costs")
     spelling = costs.where(F.col("again") == _SPELLED).select(F.col("row").alias("token"), "cost")
     # Repeated rows have the same costs.
     mixed = costs.where(F.col("again") != _SPELLED).groupBy("row", "again").agg(F.min("cost").alias("mixed"))

@@ -20,6 +20,7 @@ import pyarrow as pa
 
 PIECE_BYTES = 4 << 20
 _trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+_set = getattr(ctypes.CDLL(None), "mallopt", None)
 _CHUNK = 1 << 18
 _BASE = 0x9E3779B97F4A7C15 | 1
 _WINDOW_BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
@@ -209,6 +210,14 @@ def give_back() -> None:
         _trim(0)
 
 
+def keep_freed(most: int = 64 << 20) -> None:
+    """Let a worker use again what it freed, up to ``most`` bytes, before the system has it back: arrays of some MB would
+    otherwise be cleared by the system each time they are made. ``give_back`` returns it."""
+    if _set is not None:
+        _set(-1, most)  # M_TRIM_THRESHOLD
+        _set(-3, min(most, 32 << 20))  # M_MMAP_THRESHOLD
+
+
 def segments(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
     """Regroup batches sorted by ``key`` so that all rows of a key come in one batch."""
     held: list[pa.RecordBatch] = []
