@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import os
 import re
 import time
 from datetime import date
 
 from pyspark.sql import functions as F
 
-from tillweave.operators.materialize import as_laid, stage
-from tillweave.plans import costs, facts
+from tillweave.operators.materialize import as_laid, owned_scratch, scratch_folder, stage
+from tillweave.plans import costs, facts, staging
+from tillweave.queries import report as source
 
 DAYS = [date(2024, 1, day) for day in range(1, 32)]
 
@@ -29,6 +31,21 @@ def test_a_staged_table_leaves_no_shuffle_files(spark):
     assert sorted(r["n"] for r in staged.collect()) == [142, 143, 143, 143, 143, 143, 143]
 
 
+def test_staging_keeps_names_and_counts_only_and_the_order_of_columns(spark, sf):
+    raw = source.report(spark, sf).where("spot_id_raw <= 3")
+    spots = source.spots(spark, sf).where("spot_id_raw <> '2'")
+    with owned_scratch(spark) as folder:
+        stg = staging.build_staging(raw, spots, source.SALE_TYPES, source.corrections(spark))
+        assert {name.rsplit("-", 1)[0] for name in os.listdir(folder)} == {"names", "counts"}
+        rows = staging.prepare_rows(raw, spots, source.SALE_TYPES).columns
+        assert stg.columns[: len(rows)] == ["product_work_key", "spot_id_raw", *(x for x in rows if x not in ("product_work_key", "spot_id_raw"))]
+        assert stg.count() == raw.count()
+        found = {r["spot_id_raw"] for r in stg.where("spot_mapping_found").select("spot_id_raw").distinct().collect()}
+        assert 2 not in found and found
+        assert not stg.where("spot_mapping_found <> (spot_name IS NOT NULL)").count()
+    assert not os.path.exists(folder) and os.path.exists(scratch_folder(spark))
+
+
 def daily_and_base(spark):
     cost = spark.createDataFrame(
         [(DAYS[0], 1, 2.0), (DAYS[9], 1, 3.0), (DAYS[4], 2, 5.0)], "date date, product_id int, productcost double"

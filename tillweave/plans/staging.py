@@ -18,7 +18,7 @@ from tillweave.errors import QualityError
 from tillweave.functions import dates, numbers, text
 from tillweave.functions.text import quoted
 from tillweave.operators.attach import BOUNDS, JoinBounds, attach
-from tillweave.operators.materialize import stage
+from tillweave.operators.materialize import owned_scratch, scratch_path, stage
 from tillweave.sources.reference import SaleTypes
 from tillweave.vocabulary import METRICS, NAME, RECIPE, ROW_ORDER, WORK_CODE
 
@@ -72,10 +72,11 @@ def spot_number(df: DataFrame) -> Column:
     return F.when(number == F.floor(number), number.cast("long"))
 
 
-def map_spots(df: DataFrame, spots: DataFrame) -> DataFrame:
+def map_spots(df: DataFrame, spots: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """JN-1: adds ``spot_name, city, street, spot_mapping_found``.
 
     ``spots`` must be unique on ``spot_id_raw``, else the run ends. Rows without a spot keep nulls and the flag false.
+    ``counts`` are those of ``attach``, by the spot ids as numbers.
     """
     require_columns(df, ["spot_id_raw"], "map_spots input")
     require_columns(spots, ["spot_id_raw", "spot_name", "city", "street"], "spots")
@@ -84,7 +85,7 @@ def map_spots(df: DataFrame, spots: DataFrame) -> DataFrame:
     if not repeated.isEmpty():
         raise QualityError("spots have the same spot_id_raw")
     rows = df.withColumn("spot_id_raw", spot_number(df))
-    return attach(rows, lookup.where("spot_id_raw IS NOT NULL"), "spot_id_raw", unique=True).withColumn(
+    return attach(rows, lookup.where("spot_id_raw IS NOT NULL"), "spot_id_raw", unique=True, counts=counts).withColumn(
         "spot_mapping_found", F.col("spot_name").isNotNull()
     )
 
@@ -347,12 +348,32 @@ def build_staging(
     """The staging table: one row per report row.
 
     Product cells are made distinct and counted first; names come from them, or are given, as those of a longer time,
-    and then reduced to the keys at hand. The counts also say which keys are joined with salts.
+    and then reduced to the keys at hand. The counts also say which keys are joined with salts. Spots are attached last,
+    so that neither the observations nor the join with the names move their texts.
     """
-    rows = prepare_rows(raw, spots, sale_types)
-    observations = staged_observations(rows)
-    if names is None:
-        names = product_names(observations, corrections)
-    else:
-        names = names.join(observations.select("product_work_key"), "product_work_key", "left_semi")
-    return with_names(rows, stage(names, "names"), observations.select("product_work_key", "n_rows"), bounds)
+    spark = raw.sparkSession
+    rows = prepare_rows(raw, None, sale_types)
+    names_path, counts_path = scratch_path(spark, "names"), scratch_path(spark, "counts")
+    with owned_scratch(spark):  # observations go as soon as names and counts are written
+        observations = staged_observations(rows)
+        if names is None:
+            names = product_names(observations, corrections)
+        else:
+            names = names.join(observations.select("product_work_key"), "product_work_key", "left_semi")
+        names = stage(names, "names", names_path)
+        counts = stage(observations.select("product_work_key", "n_rows"), "counts", counts_path)
+    return with_spots(with_names(rows, names, counts, bounds), spots, rows, "report_date")
+
+
+def with_spots(named: DataFrame, spots: DataFrame, rows: DataFrame, after: str) -> DataFrame:
+    """JN-1 for ``rows`` that have got their names: the columns of the spots follow the column ``after``.
+
+    Rows are counted by spot, where they must be, as they were before their names were joined.
+    """
+    number = rows.select(spot_number(rows).alias("spot_id_raw"))
+    mapped = map_spots(named, spots, number.groupBy("spot_id_raw").agg(F.count("*").alias("n_rows")))
+    new = [name for name in mapped.columns if name not in named.columns]
+    first = ["product_work_key", "spot_id_raw"]
+    others = [name for name in named.columns if name not in first]
+    at = others.index(after) + 1
+    return mapped.select(*(quoted(name) for name in [*first, *others[:at], *new, *others[at:]]))

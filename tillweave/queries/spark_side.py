@@ -311,6 +311,9 @@ def staging_table(spark: SparkSession, sf: str) -> DataFrame:
     stg = staging.build_staging(
         source.report(spark, sf), source.spots(spark, sf), source.SALE_TYPES, source.corrections(spark)
     )
+    summed = ["is_short_product_name_warning", "product_alternative_names_count", "product_name_selected", "sales_total_computed"]
+    # Written, so that the joins' shuffle files are gone before the rows are shuffled by day and spot.
+    stg = stage(stg.select("report_date", "spot_name", "city", *summed), "staging")
     sums = stg.groupBy("report_date", "spot_name", "city").agg(
         F.count("*").alias("n_rows"),
         F.count_if("is_short_product_name_warning").alias("n_short"),
