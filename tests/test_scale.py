@@ -10,7 +10,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from tillweave.operators.materialize import as_laid, owned_scratch, scratch_folder, stage
-from tillweave.plans import costs, facts, staging
+from tillweave.plans import costs, facts, staging, warehouse
 from tillweave.queries import report as source
 
 DAYS = [date(2024, 1, day) for day in range(1, 32)]
@@ -90,3 +90,14 @@ def test_the_fact_by_day_reads_asked_costs_only(spark):
         (DAYS[8], 7, 1): 8.0, (DAYS[9], 7, 1): 12.0, (DAYS[9], 8, 1): 12.0,
         (DAYS[3], 7, 2): 0.0, (DAYS[30], 7, 2): 20.0, (DAYS[0], 7, 3): 0.0,
     }
+
+
+def test_prepared_rows_are_written_without_columns_that_repeat(spark, sf):
+    raw = staging.normalize_columns(source.report(spark, sf).where("spot_id_raw <= 3"))
+    rows = staging.prepare_rows(raw, None, source.SALE_TYPES)
+    with owned_scratch(spark) as folder:
+        kept = warehouse.stage_prepared(rows)
+        assert kept.schema.names == rows.schema.names
+        assert kept.exceptAll(rows).isEmpty() and rows.exceptAll(kept).isEmpty()
+        (name,) = os.listdir(folder)
+        assert not set(staging.CELLS) & set(spark.read.parquet(f"{folder}/{name}").columns)
