@@ -335,7 +335,7 @@ def build_fact_inventory_movement(
         bounds=bounds,
     )
     base = stage(base, "movements")
-    unit_costs = unit_costs_as_of(base, costs) if as_of else daily_costs_of(base, costs)
+    unit_costs = unit_costs_as_of(base, costs) if as_of else daily_costs_of(base, costs).hint("shuffle_merge")
     return value_movements(base, unit_costs).select(
         "date",
         "spot_id",
